@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
 from . import decontam, langid, licenses, mixing, quality, repetition, simhash, toxicity, urlfilter, warc
 from .common import table
 
@@ -55,8 +57,17 @@ def op10_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.fit(docs))
 
 
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f
+    f.__name__: _shipped(f)
     for f in (
         op1_license_scan, op2_repetition_rules, op3_edit_decontamination, op4_quality_classifier, op5_simhash_bk,
         op6_source_mix, op7_warc_salvage, op8_toxicity, op9_url_filter, op10_language_spans,

@@ -17,9 +17,9 @@ from .common import texts
 
 SPACES, SYMBOLS = "\x20\x09\x0a\x0b\x0c\x0d", "#*$%&|<>"
 #: Largest share of a text's word characters that may lie in second and later copies of n-grams of n words.
-NGRAM_LIMITS = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
+NGRAM_LIMITS = {5: 0.30, 6: 0.28, 7: 0.26, 8: 0.24, 9: 0.22, 10: 0.20}
 #: The same for lines equal to an earlier line, by characters and by count.
-LINE_CHARS_LIMIT, LINES_LIMIT = 0.20, 0.30
+LINE_CHARS_LIMIT, LINES_LIMIT = 0.30, 0.50
 MIN_WORDS = 50
 SCHEMA = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "

@@ -4,7 +4,8 @@
 2. Spans that look disguised (letters mixed with look-alike digits and signs, letters spaced out, letters repeated)
    are lattices of possible readings; Viterbi picks the likeliest under the model and the channel's costs.
 3. Words and word beginnings of the labelled sample become a lexicon where they occur in toxic documents far above
-   the base rate; restored text is scored by the lexicon entries it holds.
+   the base rate, after many different words (copies of one text are evidence once); restored text is scored by the
+   lexicon entries it holds.
 
 Defined results: null, empty and wordless texts score as texts without an entry; repeated rows each give a row; extra
 columns are ignored; with no labelled rows, or labels of one kind only, the lexicon is empty and all scores are low;
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,7 +32,7 @@ FOLDS, HELD = 4, 2
 SAMPLE = 40_000
 THRESHOLD = 0.3
 #: An entry needs this log-likelihood ratio against the base rate, and this share of toxic among its documents.
-MIN_EVIDENCE, MIN_PRECISION = 12.0, 0.6
+MIN_EVIDENCE, MIN_PRECISION = 14.0, 0.6
 PREFIXES = (4, 5, 6)
 LETTERS = 28  # boundary, a-z, any other letter
 
@@ -40,12 +41,12 @@ LOOKALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i",
 }
-SIGN_COST, DROP_COST, DOUBLE_COST = 1.0, 6.0, 1.5
+SIGN_COST, DROP_COST, DOUBLE_COST = 1.0, 9.0, 1.5
 _SIGNS = "".join(re.escape(c) for c in LOOKALIKES)
 _L = r"[^\W\d_]"
 #: Disguises: signs within letters; a sign before letters; letters spaced out; letters repeated.
 DISGUISED = re.compile(
-    rf"(?<![^\s.,;:?'\"-])(?:{_L}+(?:[{_SIGNS}]{{1,2}}{_L}+)+|[{_SIGNS}]{{1,2}}{_L}+(?:[{_SIGNS}]{{1,2}}{_L}+)*)[$!]?(?![^\s.,;:?!'\"-])"
+    rf"(?<![^\s.,;:?'\"-])(?:{_L}+(?:[{_SIGNS}]{{1,2}}{_L}+)+|[{_SIGNS}]{{1,2}}{_L}+(?:[{_SIGNS}]{{1,2}}{_L}+)*)(?:[{_SIGNS}]{{1,2}})?(?![^\s.,;:?!'\"-])"
     rf"|(?<![^\s])(?:{_L}|[{_SIGNS}])(?:[ .\-_*](?:{_L}|[{_SIGNS}])){{3,}}(?![^\s.,;:?!])"
     rf"|{_L}*({_L})\1\1{_L}*"
 )
@@ -94,12 +95,13 @@ def decode(span: str, costs: list[list[list[float]]]) -> str:
     spaced = bool(re.match(r".[ .\-_*].[ .\-_*]", span))
     runs = [(m[1], len(m[0])) for m in re.finditer(r"(.)\1*", span, re.S)]
     states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for ch, n in runs:
+    for at, (ch, n) in enumerate(runs):
         options: list[tuple[str, float]]
         if ch.isalpha():
             options = [(ch * n, 0.0)] if n < 2 else [(ch, 0.0 if n > 2 else DOUBLE_COST), (ch * 2, 0.5 if n > 2 else 0.0)]
         else:
-            options = [("", 0.1 if spaced and ch in " .-_*" else DROP_COST if ch in LOOKALIKES else 1.0)] + [(x, SIGN_COST) for x in LOOKALIKES.get(ch, "")] + [(x * 2, SIGN_COST + 1) for x in LOOKALIKES.get(ch, "") if n > 1]
+            spare = ch in "!|" and at == len(runs) - 1  # an exclamation mark rather than a letter
+            options = [("", 0.1 if spaced and ch in " .-_*" else DROP_COST if ch in LOOKALIKES and not spare else 1.0)] + [(x, SIGN_COST) for x in LOOKALIKES.get(ch, "")] + [(x * 2, SIGN_COST + 1) for x in LOOKALIKES.get(ch, "") if n > 1]
         after: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (cost, out) in states.items():
             for letters, extra in options:
@@ -147,6 +149,19 @@ class Restorer:
         return found
 
 
+    def contexts(self, text: str) -> dict[str, int]:
+        """The same words, each with a bit set for the word before every occurrence."""
+        lowered, found, before = text.lower(), {}, ""
+        for w in _WORDS.findall(lowered):
+            found[w] = found.get(w, 0) | 1 << (zlib.crc32(before.encode("utf-8", "replace")) & 63)
+            before = w
+        for start, _, word in self.spans(lowered):
+            bit = 1 << (zlib.crc32(lowered[max(0, start - 8) : start].encode("utf-8", "replace")) & 63)
+            for w in _WORDS.findall(word):
+                found[w] = found.get(w, 0) | bit
+        return found
+
+
 def features(words: set[str]) -> set[str]:
     """Words, and beginnings of words, marked by ``*``."""
     out = set(words)
@@ -169,24 +184,42 @@ class Model:
         return 1 - (1 - top) / (1 + 0.1 * (len(hits) - 1))
 
 
+def distinct_contexts(mask: int) -> float:
+    """Of how many different words the 64 bits tell, by linear counting; all bits set: 64 or more."""
+    free = 64 - (mask & 0xFFFFFFFFFFFFFFFF).bit_count()
+    return 64 * math.log(64 / free) if free else math.inf
+
+
 def _count_features(docs: DataFrame, costs: list, wanted: set[str] | None) -> DataFrame:
-    """(feature, n): documents that hold it, added up within each task; of the wanted ones only, if given."""
+    """(feature, n, mask): documents that hold it and its contexts, added up within each task; of the wanted ones only, if given."""
     shared = docs.sparkSession.sparkContext.broadcast((costs, wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         costs, wanted = shared.value
-        restorer, counts = Restorer(costs), Counter()
+        restorer, counts = Restorer(costs), {}
+
+        def emit() -> pa.RecordBatch:
+            n, masks = zip(*counts.values(), strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(n, pa.int64()), pa.array(np.array(masks, np.uint64).view(np.int64))], names=["feature", "n", "mask"])
+
         for batch in batches:
             for text in texts(batch):
-                f = features(restorer.words(text))
-                counts.update(f if wanted is None else f & wanted)
+                own: dict[str, int] = {}
+                for word, mask in restorer.contexts(text).items():
+                    for f in (word, *(word[:n] + "*" for n in PREFIXES if len(word) > n)):
+                        if wanted is None or f in wanted:
+                            own[f] = own.get(f, 0) | mask
+                for f, mask in own.items():
+                    n, before = counts.get(f, (0, 0))
+                    counts[f] = (n + 1, before | mask)
             if len(counts) > 500_000:
-                yield pa.RecordBatch.from_pydict({"feature": list(counts), "n": list(counts.values())})
+                yield emit()
                 counts.clear()
         if counts:
-            yield pa.RecordBatch.from_pydict({"feature": list(counts), "n": list(counts.values())})
+            yield emit()
 
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "feature string, n long, mask long")
+    return rows.groupBy("feature").agg(F.sum("n").alias("n"), F.bit_or("mask").alias("mask"))
 
 
 def fit_language_model(docs: DataFrame) -> np.ndarray:
@@ -198,6 +231,17 @@ def fit_language_model(docs: DataFrame) -> np.ndarray:
     return language_model(corpus_sum(docs.select(F.col("text").cast("string").alias("text")), fill, LETTERS**3))
 
 
+def _without_loose(lexicon: dict[str, float], evidence: dict[str, float]) -> dict[str, float]:
+    """Leave out beginnings of which one surer continuation has most of the evidence: what else begins so isn't toxic."""
+    loose = set()
+    for f, p in lexicon.items():
+        for n in PREFIXES:
+            start = f[:n] + "*"
+            if start != f and len(f) > n and lexicon.get(start, 1) + 0.01 < p and 2 * evidence[f] >= evidence[start]:
+                loose.add(start)
+    return {f: p for f, p in lexicon.items() if f not in loose}
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn from the rows outside the held-out fold. What reaches the driver: one model table, and entries with enough evidence."""
     train = docs.select("doc_id", "text").filter(crc_mod("doc_id", FOLDS) != HELD)
@@ -212,7 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     least = max(2, math.floor(MIN_EVIDENCE / -math.log(base)))
     toxic = hold(_count_features(rows.filter("target = 1"), costs, None).filter(F.col("n") >= least), "toxic-features")
     # at most sample * words / least candidates; their counts in the other documents decide
-    wanted = {r.feature: r.n for r in toxic.toLocalIterator()}
+    wanted = {r.feature: t for r in toxic.toLocalIterator() if (t := min(r.n, distinct_contexts(r.mask))) >= least}
     clean = {r.feature: r.n for r in _count_features(rows.filter("target = 0"), costs, set(wanted)).collect()}
     lexicon = {}
     for f, t in wanted.items():
@@ -222,7 +266,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             smooth = (t + base) / (t + c + 1)
             if smooth >= MIN_PRECISION:
                 lexicon[f] = smooth
-    return Model(costs, lexicon, base)
+    return Model(costs, _without_loose(lexicon, wanted), base)
 
 
 def _scorer(model: Model, docs: DataFrame):
