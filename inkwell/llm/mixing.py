@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD
+from .common import WORD, hold
 
 WEIGHTS, CAP, SEED = (1, 2, 3), 3, "mix-1"
 
@@ -66,7 +66,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, carry
         F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 2), 16, 10).cast("int").alias("bucket"),
     ).withColumn("class", F.length(digits) * 100 + F.rpad(F.substring(digits, 1, 2), 2, "0").cast("int"))
     cell = ["skey", "class", "bucket"]
-    cells = base.groupBy(*cell).agg(F.first("source").alias("source"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("words"))
+    # two plans read the counts; held, they cost one pass over the texts
+    cells = hold(base.groupBy(*cell).agg(F.first("source").alias("source"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("words")), "mix-cells")
     before = Window.partitionBy("skey").orderBy("class", "bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = cells.select(*cell, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     ranked = base.drop("source").withColumn("rank", F.row_number().over(Window.partitionBy(*cell).orderBy("size", "key_id")))
