@@ -51,6 +51,9 @@ DISGUISED = re.compile(
     rf"|{_L}*({_L})\1\1{_L}*"
 )
 _WORDS = re.compile(rf"{_L}+")
+#: Of ASCII characters: 1 letters, 2 signs. Others are letters, as far as finding suspicious lines goes, or signs.
+_KIND = np.array([("a" <= chr(i) <= "z") + 2 * (chr(i) in LOOKALIKES) for i in range(129)], np.uint8)
+_ODD_SIGNS = np.array([ord(c) for c in LOOKALIKES if ord(c) >= 128], np.uint32)
 
 
 def _codes(text: str) -> np.ndarray:
@@ -115,6 +118,29 @@ def decode(span: str, costs: list[list[list[float]]]) -> str:
     return min((cost + costs[a][b][0], out) for (a, b), (cost, out) in states.items())[1]
 
 
+def suspicious_lines(lowered: str) -> list[tuple[int, int]]:
+    """The lines that may hold a disguise, by what every alternative of DISGUISED needs; no disguise spans lines."""
+    points = np.frombuffer(lowered.encode("utf-32-le", "replace"), np.uint32)
+    if len(points) < 2:
+        return []
+    kind = _KIND[np.minimum(points, 128)]
+    odd = points >= 128
+    if odd.any():
+        kind[odd] = np.where(np.isin(points[odd], _ODD_SIGNS), 2, 1)
+    letter, sign = (kind & 1) > 0, (kind & 2) > 0
+    places = [np.flatnonzero(sign[:-1] & letter[1:])]
+    places.append(np.flatnonzero((points[2:] == points[1:-1]) & (points[1:-1] == points[:-2]) & letter[2:]))
+    alone = (letter | sign)[:-1] & ~letter[1:]  # then a separator
+    places.append(np.flatnonzero(alone[:-4] & alone[2:-2] & alone[4:]))
+    found = sorted({int(x) for at in places for x in at})
+    out: list[tuple[int, int]] = []
+    for x in found:
+        if not out or x >= out[-1][1]:
+            end = lowered.find("\n", x)
+            out.append((lowered.rfind("\n", 0, x) + 1, end if end >= 0 else len(lowered)))
+    return out
+
+
 @dataclass
 class Restorer:
     """Restores texts; remembers the spans it has seen, up to a bound on memory."""
@@ -125,12 +151,13 @@ class Restorer:
     def spans(self, lowered: str) -> list[tuple[int, int, str]]:
         """(start, end, restored) of the disguised spans."""
         out = []
-        for m in DISGUISED.finditer(lowered):
-            if m[0] not in self.seen:
-                if len(self.seen) > 200_000:
-                    self.seen.clear()
-                self.seen[m[0]] = decode(m[0], self.costs)
-            out.append((m.start(), m.end(), self.seen[m[0]]))
+        for start, end in suspicious_lines(lowered):
+            for m in DISGUISED.finditer(lowered, start, end):
+                if m[0] not in self.seen:
+                    if len(self.seen) > 200_000:
+                        self.seen.clear()
+                    self.seen[m[0]] = decode(m[0], self.costs)
+                out.append((m.start(), m.end(), self.seen[m[0]]))
         return out
 
     def restore(self, text: str) -> str:
