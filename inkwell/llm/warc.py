@@ -85,7 +85,7 @@ def _parse(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     headers = {}
     for line in data[at:stop].split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
-        if not colon:
+        if not colon or line.endswith((b"WARC/1.0", b"WARC/1.1")):  # a cut may have joined two records
             raise Damaged("bad header line")
         headers[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
     length = headers.get("content-length", "")
@@ -142,8 +142,6 @@ def _next(data: bytes, at: int) -> int:
     """The next place where a member or a plain record may begin."""
     member = data.find(b"\x1f\x8b\x08", at)
     line = data.find(b"WARC/1.", at)
-    while line > 0 and data[line - 1 : line] != b"\n":
-        line = data.find(b"WARC/1.", line + 1)
     places = [x for x in (member, line) if x >= 0]
     return min(places, default=len(data))
 
