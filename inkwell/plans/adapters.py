@@ -90,7 +90,10 @@ def order_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = o.withColumn("day", F.date_format("o_orderdate", "yyyy-MM-dd")).withColumn("complexity", F.when(F.col("o_orderstatus") == "F", "High").when(F.col("o_orderstatus") == "O", "Medium").otherwise("Low"))
     o = o.withColumn("steps", F.array_join(step, "\n")).withColumn("decisions", F.array_join(decision, "\n")).withColumn("n_lines", F.col("n"))
     kind = F.col("o_orderkey") % 3
-    return o.select("o_orderkey", F.format_string("notes/SR-PTD_%d.md", "o_orderkey").alias("path"), F.when(kind == 0, _full()).when(kind == 1, _quick()).otherwise(_legacy()).alias("content"))
+    notes = o.select("o_orderkey", F.format_string("notes/SR-PTD_%d.md", "o_orderkey").alias("path"), F.when(kind == 0, _full()).when(kind == 1, _quick()).otherwise(_legacy()).alias("content"))
+    # extraction costs far more per byte than the sizes tell by which partitions would be coalesced
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return notes.repartition(n, "o_orderkey")
 
 
 def event_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
