@@ -200,12 +200,13 @@ def components(links: DataFrame) -> DataFrame:
     state = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # held, so that both sides of the joins are plain exchanges, of which a hot node's rows can be split
+        low = hold(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "large-star-least")
         # large-star: larger neighbours of u, and not u itself, go to the smallest around u
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
         large = hold(large, "large-star")
         # small-star: u and its smaller neighbours go to the smallest of these
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = hold(large.groupBy("u").agg(F.min("v").alias("m")), "small-star-least")
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         edges = hold(small.filter("u != v").distinct(), "small-star")
         new = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -219,9 +220,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     own = hold(fingerprints(docs), "fingerprints")
     smallest = hold(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     roots = components(near_links(smallest.select("fp")))
-    linked = smallest.join(roots, smallest.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = linked.select("fp", "root").join(least, "root").select("fp", "component_id")
+    # only linked fingerprints need a component other than their own; each join is between held tables (see components)
+    pairs = roots.union(roots.select("root", F.col("root").alias("same")).distinct())
+    linked = hold(pairs.join(smallest, F.col("node") == F.col("fp")).select("node", "root", "least"), "linked")
+    least = hold(linked.groupBy("root").agg(F.min("least").alias("component_id")), "components")
+    found = hold(linked.join(least, "root").select("node", "component_id"), "component-of")
+    named = smallest.join(found, F.col("fp") == F.col("node"), "left").select("fp", F.when(F.col("node").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"))
+    named = hold(named, "named-fingerprints")
     return own.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
