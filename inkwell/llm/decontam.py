@@ -18,7 +18,6 @@ import re
 from collections.abc import Iterator
 
 import ahocorasick
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -148,31 +147,25 @@ def _matcher(docs: DataFrame, block: list[tuple[int, str]]):
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_items, item_ids (sorted), least_distance, contaminated for every document; one narrow pass per block."""
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, n_items long, item_ids array<long>, least_distance long, contaminated boolean"
+    """doc_id, n_items, item_ids (sorted), least_distance, contaminated for every document; one narrow pass per block of items.
 
-    def against(block: list[tuple[int, str]]) -> DataFrame:
+    Every pass adds its findings to the row, so that nothing is shuffled.
+    """
+    none = F.array().cast("array<long>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), none.alias("item_ids"), F.lit(None).cast("long").alias("least_distance"))
+    schema = rows.schema
+    for i, block in enumerate(_blocks(benchmark)):
         matcher = _matcher(docs, block)
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], matcher=matcher) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 found = [matcher().match(t) for t in texts(batch)]
-                columns = [batch.column("doc_id"), pa.array([len(f) for f in found], pa.int64()), pa.array([sorted(f) for f in found], pa.list_(pa.int64())), pa.array([min(f.values(), default=None) for f in found], pa.int64()), pa.array([bool(f) for f in found])]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_items", "item_ids", "least_distance", "contaminated"])
-
-        return narrow.mapInArrow(run, schema)
+                ids = [sorted({*before, *f}) for before, f in zip(batch.column("item_ids").to_pylist(), found, strict=True)]
+                least = [min([*f.values(), *([] if x is None else [x])], default=None) for x, f in zip(batch.column("least_distance").to_pylist(), found, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(ids, pa.list_(pa.int64())), pa.array(least, pa.int64())], names=["doc_id", "text", "item_ids", "least_distance"])
 
-    parts = [against(b) for b in _blocks(benchmark)] or [against([])]
-    if len(parts) == 1:
-        return parts[0]
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.union(part)
-    # several blocks: their findings meet by id
-    return rows.groupBy("doc_id").agg(
-        F.sum("n_items").alias("n_items"), F.array_sort(F.flatten(F.collect_list("item_ids"))).alias("item_ids"), F.min("least_distance").alias("least_distance"), F.bool_or("contaminated").alias("contaminated")
-    )
+        rows = (hold(rows, "matched") if i and i % 4 == 0 else rows).mapInArrow(run, schema)
+    return rows.select("doc_id", F.size("item_ids").cast("long").alias("n_items"), "item_ids", "least_distance", (F.size("item_ids") > 0).alias("contaminated"))
 
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -185,5 +178,5 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             for batch in batches:
                 yield batch.filter(pa.array([not matcher().match(t) for t in texts(batch)], pa.bool_()))
 
-        out = (hold(out, "decontaminated") if i and i % 8 == 0 else out).mapInArrow(run, docs.schema)
+        out = (hold(out, "decontaminated") if i and i % 4 == 0 else out).mapInArrow(run, docs.schema)
     return out
