@@ -21,6 +21,12 @@ def inputs(final: DataFrame, reps: DataFrame, extractions: DataFrame) -> DataFra
     return joined.withColumn("state", state).drop("_reps")
 
 
+def wanted(final: DataFrame, names: tuple[str, ...] = (), limit: int | None = None) -> DataFrame:
+    """The clusters to make packages of: those named, or all; the first so many in order of name."""
+    chosen = final.filter(F.col("cluster_name").isin(*names)) if names else final
+    return chosen.orderBy("cluster_name").limit(limit) if limit else chosen
+
+
 def payload() -> Column:
     """An extraction's nine fields for the prompt, as JSON."""
     raw = lambda k: F.coalesce(F.try_element_at("raw_sections", F.lit(k)), F.lit(""))

@@ -32,6 +32,9 @@ class Config:
     max_cards: int | None = None
     audit_min_size: int = 10
     skip_synthesis: bool = False
+    dry_run: bool = False
+    max_packages: int | None = None
+    packages_of: tuple[str, ...] = ()
 
     @classmethod
     def load(cls, path: str) -> Config:
@@ -40,7 +43,7 @@ class Config:
             return cls()
         data = json.loads(p.read_text())
         known = {k: v for k, v in data.items() if k in cls.__dataclass_fields__}
-        for k in ("domains", "patterns"):
+        for k in ("domains", "patterns", "packages_of"):
             if k in known:
                 known[k] = tuple(known[k])
         if "rollups" in known:

@@ -74,7 +74,9 @@ def run_pipeline(spark: SparkSession, source: str, root: str, config: Config | N
     named = final.select(F.col("cluster_name").alias("cluster_id"))
     out["findings"] = run.stage("findings", lambda: R.findings(named, reps, members, ex.select("doc_id")))
     if not config.skip_synthesis:
-        ready = D.inputs(final, reps, ex.select("doc_id", D.payload().alias("payload")))
+        ready = D.inputs(D.wanted(final, config.packages_of, config.max_packages), reps, ex.select("doc_id", D.payload().alias("payload")))
+        if config.dry_run:  # nothing is asked for
+            ready = ready.withColumn("state", F.when(F.col("state") == "ready", "skipped").otherwise(F.col("state")))
         out["packages"] = run.stage("packages", lambda: D.packages(ready, D.template_answer()))
     out["status"] = spark.createDataFrame(list(run.status.items()), "stage string, status string")
     return out

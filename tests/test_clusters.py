@@ -197,6 +197,8 @@ def test_whole_run_and_resume(spark, tmp_path):
     first = sorted(map(str, out["representatives"].collect()))
     again = pipeline.run_pipeline(spark, str(src), str(tmp_path / "run"))
     assert {r.status for r in again["status"].collect()} == {"resumed"} and sorted(map(str, again["representatives"].collect())) == first
+    dry = pipeline.run_pipeline(spark, str(src), str(tmp_path / "dry"), Config(dry_run=True, max_packages=1, max_cards=None))
+    assert [r.state for r in dry["packages"].collect()] == ["skipped"]
     (src / "SR-PTD_9.md").write_text("## Trigger\n> new\n")
     more = pipeline.run_pipeline(spark, str(src), str(tmp_path / "run"))
     assert {r.status for r in more["status"].collect()} == {"done"} and more["extractions"].count() == 9
