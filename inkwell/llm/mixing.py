@@ -71,7 +71,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, carry
     before = Window.partitionBy("skey").orderBy("class", "bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = cells.select(*cell, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     ranked = base.drop("source").withColumn("rank", F.row_number().over(Window.partitionBy(*cell).orderBy("size", "key_id")))
-    placed = ranked.join(starts, cell).join(source_targets(cells, weights, cap), "skey")
+    # every row has its cell and source; outer joins spare a filter on the keys, for which texts would be read for size again
+    placed = ranked.join(starts, cell, "left").join(source_targets(cells, weights, cap), "skey", "left")
     at = F.col("start") + F.col("rank")
     crossed = F.floor(F.col("rate") * at + F.col("offset")) - F.floor(F.col("rate") * (at - 1) + F.col("offset"))
     copies = F.least(crossed, F.lit(cap)).cast("long")
