@@ -106,7 +106,7 @@ def test_streamed_fold_equals_batch(spark, tmp_path):
         pytest.skip(f"no state store here: {str(e)[:80]}")
     got = {(r.bucket_key, r.doc_id): r.cluster_name for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     want = {(r.bucket_key, r.doc_id): r.cluster_name for r in I.fold(_members(spark)).filter("event = 'member'").collect()}
-    assert len(got) == len(want)
+    assert got == want
 
 
 @pytest.mark.parametrize(("domains", "want"), [(["guidelines"], "frontend"), (["rapid"], "api-development"), (["excellent"], "data-analysis"), ([], "misc"), (None, "misc"), (["LLM"], "ai-integration")])
