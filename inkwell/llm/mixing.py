@@ -5,8 +5,8 @@ order (size class, hash bucket, size, id); the expected copies are prefix-summed
 added, and a document is emitted once for each integer that its interval crosses. The order by size keeps the words
 taken near the target.
 
-No task needs a whole source: ranks are counted within (source, size class, hash bucket), and only the counts of those
-cells (at most 450 x 256 a source) are prefix-summed within a source.
+No task needs a whole source: ranks are counted within (source, size class, hash bucket). The counts of those cells are
+prefix-summed in two levels, at most 450 classes within a source and 256 buckets within a class.
 
 Defined results: null texts have size 0; a null source is a source of its own, the last; equal ids are told apart by
 nothing but are equal rows then; sources without words get target 0; extra columns are carried by ``mix``.
@@ -68,8 +68,10 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, carry
     cell = ["skey", "class", "bucket"]
     # two plans read the counts; held, they cost one pass over the texts
     cells = hold(base.groupBy(*cell).agg(F.first("source").alias("source"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("words")), "mix-cells")
-    before = Window.partitionBy("skey").orderBy("class", "bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = cells.select(*cell, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    # two levels, so that no task has all cells of a source: class totals along the source, then cells along the class
+    so_far = lambda *keys: F.coalesce(F.sum("n").over(Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    classes = cells.groupBy("skey", "class").agg(F.sum("n").alias("n")).select("skey", "class", so_far("skey", "class").alias("class_start"))
+    starts = cells.select(*cell, so_far(*cell).alias("start")).join(classes, ["skey", "class"]).select(*cell, (F.col("class_start") + F.col("start")).alias("start"))
     ranked = base.drop("source").withColumn("rank", F.row_number().over(Window.partitionBy(*cell).orderBy("size", "key_id")))
     # every row has its cell and source; outer joins spare a filter on the keys, for which texts would be read for size again
     placed = ranked.join(starts, cell, "left").join(source_targets(cells, weights, cap), "skey", "left")
