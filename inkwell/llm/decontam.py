@@ -100,16 +100,17 @@ class Matcher:
         if not self.places or not text:
             return found
         done: set[int] = set()
-        tried: dict[int, list[int]] = {}
+        tried: set[tuple[int, int]] = set()
         for end, piece in self.automaton.iter(text):
             for at, start in self.places[piece]:
                 if at in done:
                     continue
                 item, k = self.items[at][1], self.budget[at]
                 first = end + 1 - len(piece) - start
-                if any(abs(first - x) <= k // 2 for x in tried.get(at, ())):
-                    continue  # the window below went that far to either side
-                tried.setdefault(at, []).append(first)
+                near = at, first // (k // 2 + 1)
+                if near in tried:
+                    continue  # begins within k // 2 of a place whose window, below, went that far to either side
+                tried.add(near)
                 reach = k + k // 2 + 1
                 window = text[max(0, first - reach) : first + len(item) + reach]
                 d = 0 if item in window else substring_distance(self.masks[at], len(item), window, 1)
