@@ -234,4 +234,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The documents with the smallest id of their component; rows that share this id all stay, and so do null ids."""
     dropped = hold(near_duplicates(docs).filter("doc_id != component_id").select("doc_id").distinct(), "near-copies")
     n = dropped.count()
-    return docs.join(F.broadcast(dropped) if n <= BROADCAST_ROWS else dropped, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(F.broadcast(dropped) if n <= BROADCAST_ROWS else dropped, "doc_id", "left_anti").select([F.col(f"`{c}`") for c in docs.columns])

@@ -161,6 +161,9 @@ def test_keep_one(spark, empty):
     docs = spark.createDataFrame([(5, "a b c d e"), (2, "A B C D E"), (9, "other words are here now"), (5, "a b c d e"), (None, "a b c d e")], "doc_id long, text string")
     assert sorted(r.doc_id for r in simhash.keep_one(docs).collect() if r.doc_id) == [2, 9]
     assert simhash.keep_one(empty).count() == 0 and simhash.keep_one(empty).columns == empty.columns
+    odd = docs.selectExpr("text", "1 as `a.b`", "doc_id", "0L as component_id", "'x' as fp")
+    kept = simhash.keep_one(odd)
+    assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.collect() if r.doc_id) == [2, 9]
 
 
 # --- decontamination ------------------------------------------------------------------------------------------------
