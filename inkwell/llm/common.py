@@ -113,6 +113,20 @@ def corpus_sum(df: DataFrame, fill: Callable[[pa.RecordBatch, np.ndarray], None]
     return total
 
 
+def filter_texts(docs: DataFrame, keep: Callable[[list[str]], np.ndarray | list[bool]]) -> DataFrame:
+    """The rows whose whole texts ``keep`` is true for, with all their columns; a narrow map.
+
+    Arrow maps look up columns by name, which fails on names with dots: but for ``text``, columns go by their place.
+    """
+    plain = docs.toDF(*[c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(keep(texts(batch)), pa.bool_()))
+
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
+
+
 def chunks(items: list[str], limit: int) -> Iterator[tuple[int, int]]:
     """Ranges of neighbouring items with about ``limit`` characters each, one item at least."""
     start, n = 0, 0

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, hold, texts
+from .common import filter_texts, hold, texts
 
 ERROR_RATE, MIN_CHARS = 0.06, 32
 #: Characters of items in one broadcast block.
@@ -174,10 +174,5 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     out = docs
     for i, block in enumerate(_blocks(benchmark)):
         matcher = _matcher(docs, block)
-
-        def run(batches: Iterator[pa.RecordBatch], matcher=matcher) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield batch.filter(pa.array([not matcher().match(t) for t in texts(batch)], pa.bool_()))
-
-        out = (hold(out, "decontaminated") if i and i % 4 == 0 else out).mapInArrow(run, docs.schema)
+        out = filter_texts(hold(out, "decontaminated") if i and i % 4 == 0 else out, lambda items, matcher=matcher: [not matcher().match(t) for t in items])
     return out

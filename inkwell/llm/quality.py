@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, corpus_sum, crc_mod, held_out, labelled_sample, texts
+from .common import chunks, corpus_sum, crc_mod, filter_texts, held_out, labelled_sample, texts
 
 FOLDS, HELD = 5, 0
 #: Labelled documents that the network is fitted on, at most.
@@ -182,10 +182,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 def _scorer(model: Model, docs: DataFrame):
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-        buckets = _Buckets()
-        for batch in batches:
-            yield batch, shared.value.score(texts(batch), buckets)
+    buckets = _Buckets()
+
+    def scores(items: list[str]) -> np.ndarray:
+        return shared.value.score(items, buckets)
 
     return scores
 
@@ -195,7 +195,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     scores = _scorer(model, docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, s in scores(batches):
+        for batch in batches:
+            s = scores(texts(batch))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out("doc_id", FOLDS, HELD).alias("held_out"), F.col("text").cast("string").alias("text"))
@@ -205,9 +206,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def keep_good(docs: DataFrame, model: Model) -> DataFrame:
     """The documents predicted to be of quality, with all their columns; a narrow map."""
     scores = _scorer(model, docs)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, s in scores(batches):
-            yield batch.filter(pa.array(s >= THRESHOLD))
-
-    return docs.mapInArrow(run, docs.schema)
+    return filter_texts(docs, lambda items: scores(items) >= THRESHOLD)

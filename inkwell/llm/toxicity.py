@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, corpus_sum, crc_mod, held_out, hold, labelled_sample, texts
+from .common import chunks, corpus_sum, crc_mod, filter_texts, held_out, hold, labelled_sample, texts
 
 FOLDS, HELD = 4, 2
 #: Labelled documents that the lexicon is fitted on, at most.
@@ -298,12 +298,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 def _scorer(model: Model, docs: DataFrame):
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    made: list[Restorer] = []
 
-    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-        m = shared.value
-        restorer = Restorer(m.costs)
-        for batch in batches:
-            yield batch, np.array([m.score(restorer.words(t)) for t in texts(batch)], np.float64)
+    def scores(items: list[str]) -> np.ndarray:
+        if not made:
+            made.append(Restorer(shared.value.costs))
+        return np.array([shared.value.score(made[0].words(t)) for t in items], np.float64)
 
     return scores
 
@@ -313,7 +313,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     scores = _scorer(model, docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, s in scores(batches):
+        for batch in batches:
+            s = scores(texts(batch))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out("doc_id", FOLDS, HELD).alias("held_out"), F.col("text").cast("string").alias("text"))
@@ -323,9 +324,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     """The documents that aren't predicted toxic, with all their columns; a narrow map."""
     scores = _scorer(model, docs)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, s in scores(batches):
-            yield batch.filter(pa.array(s < THRESHOLD))
-
-    return docs.mapInArrow(run, docs.schema)
+    return filter_texts(docs, lambda items: scores(items) < THRESHOLD)

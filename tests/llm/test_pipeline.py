@@ -49,3 +49,20 @@ def test_stages(spark, corpus):
 def test_names():
     assert sorted({int(n[2:].split("_")[0]) for n in QUERIES}) == list(range(1, 11))
     assert set(ORACLE_SQL) <= set(QUERIES) and len(corpus_pipeline.STAGES) == 5
+
+
+def test_stages_carry_columns_of_any_name(spark, corpus):
+    docs = spark.read.parquet(f"{corpus}/documents.parquet").selectExpr("*", "doc_id as `a.b`", "1 as target", "2 as score", "3 as size", "'r' as row", "4 as copy_no", "5L as component_id", "6 as rank")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.hold(stage(spark, docs, corpus), name)
+        assert docs.columns == columns + ["mix_copy_no"] * (name == "source_mix")
+    rows = docs.collect()
+    assert rows and all(r["a.b"] == r.doc_id and r.copy_no == 4 and r.row == "r" for r in rows)
+
+
+def test_stages_on_empty_tables(spark, corpus, tmp_path):
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{corpus}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.columns == [*spark.read.parquet(f"{corpus}/documents.parquet").columns, "copy_no"] and out.count() == 0
