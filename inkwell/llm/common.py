@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -15,6 +18,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 _own_dir: str | None = None
+_held: dict[int, str] = {}
+_scratch: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,25 +27,65 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``; one of our own where that is unset (tests)."""
+    """The folder that the cluster names in ``spark.checkpoint.dir``; one of our own where that is unset and all runs on
+    one machine (tests). On a cluster without such a folder this raises: a local folder would lose rows."""
     global _own_dir
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.conf.get("spark.master", "local")
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir isn't set: executors of {master} share no other folder")
     if _own_dir is None:
         _own_dir = "file://" + tempfile.mkdtemp(prefix="inkwell-")
+        atexit.register(shutil.rmtree, _own_dir.removeprefix("file://"), ignore_errors=True)
     return _own_dir
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/inkwell/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, deleted when the application ends if not before."""
+    path = f"{shared_dir(spark)}/inkwell/{name}-{uuid.uuid4().hex}"
+    if not _scratch:
+        atexit.register(_clear)
+    _scratch.add(path)
+    return path
 
 
 def hold(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage, and survives lost executors."""
+    """Write ``df`` to the shared folder and read it back: cuts the lineage, and survives lost executors.
+
+    ``release`` deletes the table once nothing reads it any more; tables that a query's result still reads go when the
+    application ends.
+    """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _held[id(out)] = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables made by ``hold``."""
+    for df in tables:
+        path = _held.pop(id(df), None)
+        if path is not None:
+            delete_path(df.sparkSession, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    _scratch.discard(path)
+
+
+def _clear() -> None:
+    spark = SparkSession.getActiveSession()
+    for path in list(_scratch) if spark is not None else ():
+        try:
+            delete_path(spark, path)
+        except Exception:  # noqa: BLE001  the session has ended: the folder is the cluster's to clean
+            return
 
 
 def crc_mod(column: str, n: int) -> Column:

@@ -4,10 +4,11 @@
 2. Spans that look disguised (letters mixed with look-alike digits and signs, letters spaced out, letters repeated)
    are lattices of possible readings; Viterbi picks the likeliest under the model and the channel's costs.
 3. Words and word beginnings of the labelled sample become a lexicon where they occur in toxic documents far above
-   the base rate, after many different words (copies of one text are evidence once); restored text is scored by the
-   lexicon entries it holds.
+   the base rate, after many different words (copies of one text are evidence once). Restored text is scored by the
+   lexicon entries it holds and by the mean log-likelihood ratio of all its counted features; a logistic calibration on
+   labelled rows set aside makes the score a probability.
 
-Defined results: null, empty and wordless texts score as texts without an entry; repeated rows each give a row; extra
+Defined results: null, empty and wordless texts score as texts without any feature; repeated rows each give a row; extra
 columns are ignored; with no labelled rows, or labels of one kind only, the lexicon is empty and all scores are low;
 a null id is never held out and never learned from; texts are read whole.
 """
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, corpus_sum, crc_mod, filter_texts, held_out, hold, labelled_sample, texts
+from .common import chunks, corpus_sum, crc_mod, filter_texts, held_out, hold, labelled_sample, release, texts
 
 FOLDS, HELD = 4, 2
 #: Labelled documents that the lexicon is fitted on, at most.
@@ -42,13 +43,15 @@ LOOKALIKES = {
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i",
 }
 SIGN_COST, DROP_COST, DOUBLE_COST = 1.0, 9.0, 1.5
+#: Longer spans are decoded each time, so that the memory of those seen has a bound.
+LONGEST_KEPT = 64
 _SIGNS = "".join(re.escape(c) for c in LOOKALIKES)
 _L = r"[^\W\d_]"
-#: Disguises: signs within letters; a sign before letters; letters spaced out; letters repeated.
+#: Disguises by signs: signs within letters; a sign before letters; letters spaced out. Every attempt begins behind a
+#: boundary, so the search is linear. Letters repeated three times or more are found by ``triples``.
 DISGUISED = re.compile(
     rf"(?<![^\s.,;:?'\"-])(?:{_L}+(?:[{_SIGNS}]{{1,2}}{_L}+)+|[{_SIGNS}]{{1,2}}{_L}+(?:[{_SIGNS}]{{1,2}}{_L}+)*)(?:[{_SIGNS}]{{1,2}})?(?![^\s.,;:?!'\"-])"
     rf"|(?<![^\s])(?:{_L}|[{_SIGNS}])(?:[ .\-_*](?:{_L}|[{_SIGNS}])){{3,}}(?![^\s.,;:?!])"
-    rf"|{_L}*({_L})\1\1{_L}*"
 )
 _WORDS = re.compile(rf"{_L}+")
 #: Of ASCII characters: 1 letters, 2 signs. Others are letters, as far as finding suspicious lines goes, or signs.
@@ -92,52 +95,128 @@ def _code(ch: str) -> int:
     return o - 96 if 97 <= o <= 122 else 27 if ch.isalpha() else 0
 
 
+def _runs(span: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the runs of one character: code points, lengths, and whether they are letters."""
+    points = np.frombuffer(span.encode("utf-32-le", "replace"), np.uint32)
+    starts = np.flatnonzero(np.concatenate(([True], points[1:] != points[:-1])))
+    kinds, back = np.unique(points[starts], return_inverse=True)
+    letter = np.array([chr(p).isalpha() for p in kinds.tolist()], bool)[back]
+    return points[starts], np.diff(np.append(starts, len(points))), letter
+
+
+def _options(ch: str, n: int, letter: bool, spaced: bool, last: bool) -> list[tuple[str, float]]:
+    """What a run of ``n`` times ``ch`` may stand for, and the channel's costs."""
+    if letter:
+        return [(ch * n, 0.0)] if n < 2 else [(ch, 0.0 if n > 2 else DOUBLE_COST), (ch * 2, 0.5 if n > 2 else 0.0)]
+    spare = ch in "!|" and last  # an exclamation mark rather than a letter
+    meant = LOOKALIKES.get(ch, "")
+    dropped = 0.1 if spaced and ch in " .-_*" else DROP_COST if meant and not spare else 1.0
+    return [("", dropped)] + [(x, SIGN_COST) for x in meant] + [(x * 2, SIGN_COST + 1) for x in meant if n > 1]
+
+
 def decode(span: str, costs: list[list[list[float]]]) -> str:
-    """The likeliest word behind a disguised span. The states are the last two letters chosen."""
+    """The likeliest word behind a disguised span. The states are the last two letters chosen.
+
+    After two single letters every path is in the same state, so stretches of these stand as they are, and only the runs
+    between them are searched: time and memory grow in proportion to the span, with a small factor for its plain part.
+    """
     span = span.lower()
+    if not span:
+        return ""
     spaced = bool(re.match(r".[ .\-_*].[ .\-_*]", span))
-    runs = [(m[1], len(m[0])) for m in re.finditer(r"(.)\1*", span, re.S)]
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for at, (ch, n) in enumerate(runs):
-        options: list[tuple[str, float]]
-        if ch.isalpha():
-            options = [(ch * n, 0.0)] if n < 2 else [(ch, 0.0 if n > 2 else DOUBLE_COST), (ch * 2, 0.5 if n > 2 else 0.0)]
-        else:
-            spare = ch in "!|" and at == len(runs) - 1  # an exclamation mark rather than a letter
-            options = [("", 0.1 if spaced and ch in " .-_*" else DROP_COST if ch in LOOKALIKES and not spare else 1.0)] + [(x, SIGN_COST) for x in LOOKALIKES.get(ch, "")] + [(x * 2, SIGN_COST + 1) for x in LOOKALIKES.get(ch, "") if n > 1]
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (cost, out) in states.items():
-            for letters, extra in options:
-                x, y, total = a, b, cost + extra
-                for z in map(_code, letters):
-                    total += costs[x][y][z]
-                    x, y = y, z
-                if (x, y) not in after or total < after[x, y][0]:
-                    after[x, y] = (total, out + letters)
-        states = after
-    return min((cost + costs[a][b][0], out) for (a, b), (cost, out) in states.items())[1]
-
-
-def suspicious_lines(lowered: str) -> list[tuple[int, int]]:
-    """The lines that may hold a disguise, by what every alternative of DISGUISED needs; no disguise spans lines."""
+    points, sizes, letter = _runs(span)
+    places = np.concatenate(([0], np.cumsum(sizes)))
+    open_runs = np.flatnonzero(~letter | (sizes > 1))
+    if not len(open_runs):
+        return span
+    out: list[str] = []
+    at = 0  # the first run that isn't written yet
+    for part in np.split(open_runs, np.flatnonzero(np.diff(open_runs) > 2) + 1):
+        first, last = int(part[0]), int(part[-1])
+        out.append(span[places[at] : places[first]])
+        before = [_code(c) for c in span[places[max(0, first - 2)] : places[first]]][-2:]
+        start = tuple([0, 0, *before][-2:])
+        after = min(last + 3, len(points))  # two single letters, or the end
+        states: dict[tuple[int, int], float] = {start: 0.0}
+        back: list[dict[tuple[int, int], tuple[tuple[int, int], str]]] = []
+        for i in range(first, after):
+            options = _options(chr(points[i]), int(sizes[i]), bool(letter[i]), spaced, i == len(points) - 1)
+            best: dict[tuple[int, int], float] = {}
+            came: dict[tuple[int, int], tuple[tuple[int, int], str]] = {}
+            for (a, b), cost in states.items():
+                for letters, extra in options:
+                    x, y, total = a, b, cost + extra
+                    for z in map(_code, letters):
+                        total += costs[x][y][z]
+                        x, y = y, z
+                    if (x, y) not in best or total < best[x, y]:
+                        best[x, y], came[x, y] = total, ((a, b), letters)
+            states = best
+            back.append(came)
+        end = after == len(points)
+        state = min(states, key=lambda s: states[s] + (costs[s[0]][s[1]][0] if end else 0.0))
+        chosen: list[str] = []
+        for came in reversed(back):
+            state, letters = came[state]
+            chosen.append(letters)
+        out += reversed(chosen)
+        at = after
+    out.append(span[places[at] :])
+    return "".join(out)
+
+
+def _points(lowered: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points, and which of them may be letters and signs."""
     points = np.frombuffer(lowered.encode("utf-32-le", "replace"), np.uint32)
-    if len(points) < 2:
-        return []
     kind = _KIND[np.minimum(points, 128)]
     odd = points >= 128
     if odd.any():
         kind[odd] = np.where(np.isin(points[odd], _ODD_SIGNS), 2, 1)
-    letter, sign = (kind & 1) > 0, (kind & 2) > 0
+    return points, (kind & 1) > 0, (kind & 2) > 0
+
+
+def _lines(lowered: str, places: np.ndarray) -> list[tuple[int, int]]:
+    """The lines that hold any of the places."""
+    out: list[tuple[int, int]] = []
+    i = 0
+    while i < len(places):
+        x = int(places[i])
+        end = lowered.find("\n", x)
+        out.append((lowered.rfind("\n", 0, x) + 1, end if end >= 0 else len(lowered)))
+        i = int(np.searchsorted(places, out[-1][1], "left"))
+    return out
+
+
+def suspicious_lines(lowered: str) -> list[tuple[int, int]]:
+    """The lines that may hold a disguise by signs, by what the alternatives of DISGUISED need; no disguise spans lines."""
+    points, letter, sign = _points(lowered)
+    if len(points) < 2:
+        return []
     places = [np.flatnonzero(sign[:-1] & letter[1:])]
-    places.append(np.flatnonzero((points[2:] == points[1:-1]) & (points[1:-1] == points[:-2]) & letter[2:]))
     alone = (letter | sign)[:-1] & ~letter[1:]  # then a separator
     places.append(np.flatnonzero(alone[:-4] & alone[2:-2] & alone[4:]))
-    found = sorted({int(x) for at in places for x in at})
+    return _lines(lowered, np.unique(np.concatenate(places)))
+
+
+def triples(lowered: str) -> list[tuple[int, int]]:
+    """The words (runs of letters) with a letter three times in a row."""
+    points, letter, _ = _points(lowered)
+    if len(points) < 3:
+        return []
+    same = np.concatenate(([False], points[1:] == points[:-1]))
+    places = np.flatnonzero(same[1:-1] & same[2:] & ~same[:-2] & letter[2:])  # the first of each run
     out: list[tuple[int, int]] = []
-    for x in found:
-        if not out or x >= out[-1][1]:
-            end = lowered.find("\n", x)
-            out.append((lowered.rfind("\n", 0, x) + 1, end if end >= 0 else len(lowered)))
+    for start, end in _lines(lowered, places):
+        mine = places[np.searchsorted(places, start) : np.searchsorted(places, end)]
+        i = 0
+        for m in _WORDS.finditer(lowered, start, end):
+            while i < len(mine) and mine[i] < m.start():
+                i += 1  # a run of what is no letter
+            if i == len(mine):
+                break
+            if mine[i] < m.end():
+                out.append(m.span())
+                i = int(np.searchsorted(mine, m.end()))
     return out
 
 
@@ -149,17 +228,27 @@ class Restorer:
     seen: dict[str, str] = field(default_factory=dict)
 
     def spans(self, lowered: str) -> list[tuple[int, int, str]]:
-        """(start, end, restored) of the disguised spans."""
-        out = []
-        for start, end in suspicious_lines(lowered):
-            for m in DISGUISED.finditer(lowered, start, end):
-                if m[0] not in self.seen:
-                    if len(self.seen) > 200_000:
-                        self.seen.clear()
-                    self.seen[m[0]] = decode(m[0], self.costs)
-                out.append((m.start(), m.end(), self.seen[m[0]]))
+        """(start, end, restored) of the disguised spans, in order; where two begin at one place, that by signs."""
+        found = [m.span() for a, b in suspicious_lines(lowered) for m in DISGUISED.finditer(lowered, a, b)]
+        repeated = triples(lowered)
+        if repeated:
+            found = sorted([(a, 0, b) for a, b in found] + [(a, 1, b) for a, b in repeated])
+            found = [(a, b) for a, _, b in found]
+        out: list[tuple[int, int, str]] = []
+        for a, b in found:
+            if not out or a >= out[-1][1]:
+                out.append((a, b, self._read(lowered[a:b])))
         return out
 
+    def _read(self, span: str) -> str:
+        if len(span) > LONGEST_KEPT:
+            return decode(span, self.costs)
+        if span not in self.seen:
+            if len(self.seen) > 200_000:
+                self.seen.clear()
+            self.seen[span] = decode(span, self.costs)
+        return self.seen[span]
+
     def restore(self, text: str) -> str:
         lowered, out, at = text.lower(), [], 0
         for start, end, word in self.spans(lowered):
@@ -175,7 +264,6 @@ class Restorer:
             found.update(_WORDS.findall(word))
         return found
 
-
     def contexts(self, text: str) -> dict[str, int]:
         """The same words, each with a bit set for the word before every occurrence."""
         lowered, found, before = text.lower(), {}, ""
@@ -199,16 +287,43 @@ def features(words: set[str]) -> set[str]:
 
 @dataclass
 class Model:
+    """``lexicon``: entries and their share of toxic; ``weights``: log-likelihood ratios of all counted features;
+    ``calibration``: bias and factors of the two, fitted on rows set aside."""
+
     costs: list[list[list[float]]]
     lexicon: dict[str, float]
     base: float
+    weights: dict[str, float] = field(default_factory=dict)
+    calibration: tuple[float, float, float] = (0.0, 1.0, 1.0)
+
+    def evidence(self, words: set[str]) -> tuple[float, float]:
+        """Log-odds by the lexicon, and the mean weight of the features."""
+        found = features(words)
+        hits = [self.lexicon[f] for f in self.lexicon.keys() & found]
+        p = 1 - (1 - max(hits)) / (1 + 0.1 * (len(hits) - 1)) if hits else min(0.29, self.base / 4)
+        p = min(max(p, 1e-4), 1 - 1e-4)
+        known = sorted(self.weights[f] for f in self.weights.keys() & found)  # sorted: sums don't depend on the order of sets
+        return math.log(p / (1 - p)), sum(known) / len(known) if known else 0.0
 
     def score(self, words: set[str]) -> float:
-        hits = [self.lexicon[f] for f in self.lexicon.keys() & features(words)]
-        if not hits:
-            return min(0.29, self.base / 4)
-        top = max(hits)
-        return 1 - (1 - top) / (1 + 0.1 * (len(hits) - 1))
+        a, b = self.evidence(words)
+        bias, by_lexicon, by_weights = self.calibration
+        return 1 / (1 + math.exp(-min(30.0, max(-30.0, bias + by_lexicon * a + by_weights * b))))
+
+
+def calibrate(x: np.ndarray, y: np.ndarray, prior: tuple[float, ...] = (0.0, 1.0, 1.0), strength: float = 1.0) -> tuple[float, ...]:
+    """Logistic regression by Newton's steps, drawn to ``prior``: without rows it is the prior. x has a first column of ones."""
+    start = np.array(prior)
+    w = start.copy()
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        gradient = x.T @ (p - y) + strength * (w - start)
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + strength * np.eye(len(w))
+        step = np.linalg.solve(hessian, gradient)
+        w -= step * min(1.0, 2.0 / max(1e-9, float(np.abs(step).max())))
+        if np.abs(step).max() < 1e-9:
+            break
+    return tuple(float(v) for v in w)
 
 
 def distinct_contexts(mask: int) -> float:
@@ -218,35 +333,40 @@ def distinct_contexts(mask: int) -> float:
 
 
 def _count_features(docs: DataFrame, costs: list, wanted: set[str] | None) -> DataFrame:
-    """(feature, n, mask): documents that hold it and its contexts, added up within each task; of the wanted ones only, if given."""
+    """(feature, n, mask, n_fit, mask_fit): documents that hold it and its contexts, of all rows and of those not set aside.
+
+    Added up within each task; of the wanted features only, if given.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((costs, wanted))
+    names = ["feature", "n", "mask", "n_fit", "mask_fit"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         costs, wanted = shared.value
         restorer, counts = Restorer(costs), {}
 
         def emit() -> pa.RecordBatch:
-            n, masks = zip(*counts.values(), strict=True)
-            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(n, pa.int64()), pa.array(np.array(masks, np.uint64).view(np.int64))], names=["feature", "n", "mask"])
+            n, masks, n_fit, masks_fit = zip(*counts.values(), strict=True)
+            signed = lambda m: pa.array(np.array(m, np.uint64).view(np.int64))
+            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(n, pa.int64()), signed(masks), pa.array(n_fit, pa.int64()), signed(masks_fit)], names=names)
 
         for batch in batches:
-            for text in texts(batch):
+            for text, aside in zip(texts(batch), batch.column("aside").to_pylist(), strict=True):
                 own: dict[str, int] = {}
                 for word, mask in restorer.contexts(text).items():
                     for f in (word, *(word[:n] + "*" for n in PREFIXES if len(word) > n)):
                         if wanted is None or f in wanted:
                             own[f] = own.get(f, 0) | mask
                 for f, mask in own.items():
-                    n, before = counts.get(f, (0, 0))
-                    counts[f] = (n + 1, before | mask)
+                    n, before, n_fit, before_fit = counts.get(f, (0, 0, 0, 0))
+                    counts[f] = (n + 1, before | mask, n_fit, before_fit) if aside else (n + 1, before | mask, n_fit + 1, before_fit | mask)
             if len(counts) > 500_000:
                 yield emit()
                 counts.clear()
         if counts:
             yield emit()
 
-    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "feature string, n long, mask long")
-    return rows.groupBy("feature").agg(F.sum("n").alias("n"), F.bit_or("mask").alias("mask"))
+    rows = docs.select(F.col("text").cast("string").alias("text"), "aside").mapInArrow(run, "feature string, n long, mask long, n_fit long, mask_fit long")
+    return rows.groupBy("feature").agg(F.sum("n").alias("n"), F.bit_or("mask").alias("mask"), F.sum("n_fit").alias("n_fit"), F.bit_or("mask_fit").alias("mask_fit"))
 
 
 def fit_language_model(docs: DataFrame) -> np.ndarray:
@@ -269,31 +389,72 @@ def _without_loose(lexicon: dict[str, float], evidence: dict[str, float]) -> dic
     return {f: p for f, p in lexicon.items() if f not in loose}
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn from the rows outside the held-out fold. What reaches the driver: one model table, and entries with enough evidence."""
-    train = docs.select("doc_id", "text").filter(crc_mod("doc_id", FOLDS) != HELD)
-    costs = fit_language_model(train).tolist()
-    chosen = labelled_sample(labels, "toxic", FOLDS, HELD, sample)
-    rows = train.join(F.broadcast(chosen), "doc_id")  # at most `sample` ids
-    totals = {r.target: r.n for r in rows.groupBy("target").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n1, n0 = totals.get(1, 0), totals.get(0, 0)
-    if not n1 or not n0:
-        return Model(costs, {}, 0.0)
+def make_model(costs: list, toxic: dict[str, tuple[int, int]], clean: dict[str, int], n1: int, n0: int) -> Model:
+    """From each feature's toxic documents and contexts, its clean documents, and the numbers of documents."""
     base = n1 / (n1 + n0)
-    least = max(2, math.floor(MIN_EVIDENCE / -math.log(base)))
-    toxic = hold(_count_features(rows.filter("target = 1"), costs, None).filter(F.col("n") >= least), "toxic-features")
-    # at most sample * words / least candidates; their counts in the other documents decide
-    wanted = {r.feature: t for r in toxic.toLocalIterator() if (t := min(r.n, distinct_contexts(r.mask))) >= least}
-    clean = {r.feature: r.n for r in _count_features(rows.filter("target = 0"), costs, set(wanted)).collect()}
+    least = least_documents(base)
+    evidence = {f: t for f, (n, mask) in toxic.items() if (t := min(n, distinct_contexts(mask))) >= least}
     lexicon = {}
-    for f, t in wanted.items():
+    for f, t in evidence.items():
         c = clean.get(f, 0)
         p = t / (t + c)
         if p > base and t * math.log(p / base) + (c * math.log((1 - p) / (1 - base)) if c else 0) >= MIN_EVIDENCE:
             smooth = (t + base) / (t + c + 1)
             if smooth >= MIN_PRECISION:
                 lexicon[f] = smooth
-    return Model(costs, _without_loose(lexicon, wanted), base)
+    weights = {f: max(-3.0, min(3.0, math.log((n + 1) / (n1 + 2)) - math.log((clean.get(f, 0) + 1) / (n0 + 2)))) for f, (n, _) in toxic.items() if n}
+    return Model(costs, _without_loose(lexicon, evidence), base, weights)
+
+
+def least_documents(base: float) -> int:
+    return max(2, math.floor(MIN_EVIDENCE / -math.log(base)))
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    """Learn from the rows outside the held-out fold.
+
+    Every fifth labelled document is set aside: a model of the others is calibrated on it, and the model of all takes
+    that calibration. What reaches the driver: one model table, features with enough documents, two numbers for each row
+    set aside (a fifth of ``sample`` at most, copies of an id apart).
+    """
+    train = docs.select("doc_id", "text").filter(crc_mod("doc_id", FOLDS) != HELD)
+    costs = fit_language_model(train).tolist()
+    chosen = labelled_sample(labels, "toxic", FOLDS, HELD, sample)
+    rows = train.join(F.broadcast(chosen), "doc_id").withColumn("aside", F.pmod(F.xxhash64("doc_id", F.lit("aside")), F.lit(5)) == 4)  # at most `sample` ids
+    totals = {(r.target, r.aside): r.n for r in rows.groupBy("target", "aside").agg(F.count(F.lit(1)).alias("n")).collect()}
+    of = lambda target, *parts: sum(totals.get((target, x), 0) for x in parts)
+    n1, n0 = of(1, False, True), of(0, False, True)
+    if not n1 or not n0:
+        return Model(costs, {}, 0.0)
+    least = least_documents(n1 / (n1 + n0))
+    counted = hold(_count_features(rows.filter("target = 1"), costs, None).filter(F.col("n") >= least), "toxic-features")
+    # at most sample * words / least features; their counts in the other documents decide
+    toxic = {r.feature: r for r in counted.toLocalIterator()}
+    release(counted)
+    clean = {r.feature: r for r in _count_features(rows.filter("target = 0"), costs, set(toxic)).toLocalIterator()}
+    model = make_model(costs, {f: (r.n, r.mask) for f, r in toxic.items()}, {f: r.n for f, r in clean.items()}, n1, n0)
+    if of(1, False) and of(0, False):
+        part = make_model(costs, {f: (r.n_fit, r.mask_fit) for f, r in toxic.items()}, {f: r.n_fit for f, r in clean.items()}, of(1, False), of(0, False))
+        model.calibration = _calibration(rows.filter("aside"), part)
+    return model
+
+
+def _calibration(rows: DataFrame, model: Model) -> tuple[float, ...]:
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restorer = Restorer(shared.value.costs)
+        for batch in batches:
+            found = [shared.value.evidence(restorer.words(t)) for t in texts(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("target"), pa.array([a for a, _ in found], pa.float64()), pa.array([b for _, b in found], pa.float64())], names=["target", "a", "b"])
+
+    plain = rows.select(F.col("text").cast("string").alias("text"), "target").mapInArrow(run, "target int, a double, b double")
+    # equal pairs are counted, so that repeated rows add no bulk, and sorted, so that sums agree between runs
+    found = sorted((r.target, r.a, r.b, r.n) for r in plain.groupBy("target", "a", "b").agg(F.count(F.lit(1)).alias("n")).collect())
+    x = np.array([(1.0, a, b) for _, a, b, _ in found]).reshape(-1, 3)
+    y, n = np.array([float(t) for t, *_ in found]), np.array([float(k) for *_, k in found])
+    weight = np.minimum(n, 5.0)  # a text that is repeated many times is evidence a few times
+    return calibrate(np.repeat(x, weight.astype(int), 0), np.repeat(y, weight.astype(int)))
 
 
 def _scorer(model: Model, docs: DataFrame):
