@@ -5,11 +5,13 @@ differ by k = floor(ERROR_RATE * m) edits; it is cut into k + 1 pieces, one of w
 within k edits. An Aho-Corasick automaton finds piece hits in whole texts, and Myers' bit-parallel distance verifies
 the text around each.
 
+Items so short that no edit is allowed (fewer than 1 / ERROR_RATE characters) must occur as whole words, or "art" would
+be found in "start".
+
 Items go to the tasks in blocks of bounded size; every block is held against all documents.
 
-Defined results: null and empty texts match nothing; items that are null or have fewer than MIN_CHARS characters left are
-too common to search within texts and match only a text equal to them; equal items all match; repeated rows each give a
-row; extra columns are ignored; an empty benchmark leaves every document clean.
+Defined results: null and empty texts match nothing; items that are null or have no letter or digit match nothing; equal
+items all match; repeated rows each give a row; extra columns are ignored; an empty benchmark leaves every document clean.
 """
 
 from __future__ import annotations
@@ -19,12 +21,13 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import filter_texts, hold, texts
+from .common import filter_texts, hold, release, texts
 
-ERROR_RATE, MIN_CHARS = 0.06, 32
+ERROR_RATE = 0.06
 #: Characters of items in one broadcast block.
 BLOCK_CHARS = 8_000_000
 _GAPS = re.compile(r"[\W_]+")
@@ -77,16 +80,15 @@ class Matcher:
 
     def __init__(self, items: list[tuple[int, str]], rate: float = ERROR_RATE):
         self.items = [(i, n) for i, n in ((i, normalise(t)) for i, t in items) if n]
-        self.whole: dict[str, list[int]] = {}
         self.places: dict[str, list[tuple[int, int]]] = {}
         self.masks = [pattern_masks(n) for _, n in self.items]
         self.budget = [int(rate * len(n)) for _, n in self.items]
-        for at, (i, n) in enumerate(self.items):
-            if len(n) < MIN_CHARS:
-                self.whole.setdefault(n, []).append(i)
+        for at, (_, n) in enumerate(self.items):
+            if not self.budget[at]:
+                self.places.setdefault(f" {n} ", []).append((at, 0))
             else:
                 for start, piece in pieces(n, rate):
-                    self.places.setdefault(piece, []).append((at, start))
+                    self.places.setdefault(piece, []).append((at, start + 1))  # the text gets a space ahead
         self.automaton = ahocorasick.Automaton()
         for piece in self.places:
             self.automaton.add_word(piece, piece)
@@ -94,29 +96,34 @@ class Matcher:
             self.automaton.make_automaton()
 
     def match(self, text: str) -> dict[int, int]:
-        """Item ids in the text, with the least distance seen: 0 for an exact passage, else one within the budget."""
+        """Item ids in the text, with their least distances: 0 for an exact passage, else one within the budget."""
         text = normalise(text)
-        found = dict.fromkeys(self.whole.get(text, ()), 0)
+        found: dict[int, int] = {}
         if not self.places or not text:
             return found
-        done: set[int] = set()
+        text = f" {text} "
+        exact: set[int] = set()
         tried: set[tuple[int, int]] = set()
         for end, piece in self.automaton.iter(text):
             for at, start in self.places[piece]:
-                if at in done:
+                if at in exact:
                     continue
-                item, k = self.items[at][1], self.budget[at]
-                first = end + 1 - len(piece) - start
-                near = at, first // (k // 2 + 1)
-                if near in tried:
-                    continue  # begins within k // 2 of a place whose window, below, went that far to either side
-                tried.add(near)
-                reach = k + k // 2 + 1
-                window = text[max(0, first - reach) : first + len(item) + reach]
-                d = 0 if item in window else substring_distance(self.masks[at], len(item), window, 1)
+                i, item = self.items[at]
+                k = self.budget[at]
+                if not k:
+                    d = 0
+                else:
+                    first = end + 1 - len(piece) - (start - 1)
+                    near = at, first // (k // 2 + 1)
+                    if near in tried:
+                        continue  # begins within k // 2 of a place whose window, below, went that far to either side
+                    tried.add(near)
+                    reach = k + k // 2 + 1
+                    window = text[max(0, first - reach) : first + len(item) + reach]
+                    d = 0 if item in window else substring_distance(self.masks[at], len(item), window, 0)
                 if d <= k:
-                    done.add(at)
-                    i = self.items[at][0]
+                    if not d:
+                        exact.add(at)
                     found[i] = min(d, found.get(i, d))
         return found
 
@@ -135,16 +142,37 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield block
 
 
-def _matcher(docs: DataFrame, block: list[tuple[int, str]]):
-    shared = docs.sparkSession.sparkContext.broadcast(block)
-    made: list[Matcher] = []
+class _Shared:
+    """Broadcasts of blocks; those that a held table has used up are destroyed."""
+
+    def __init__(self) -> None:
+        self.live: list[Broadcast] = []
+        self.table: DataFrame | None = None
+
+    def matcher(self, docs: DataFrame, block: list[tuple[int, str]]):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+        self.live.append(shared)
+        made: list[Matcher] = []
+
+        def matcher() -> Matcher:
+            if not made:
+                made.append(Matcher(shared.value))
+            return made[0]
 
-    def matcher() -> Matcher:
-        if not made:
-            made.append(Matcher(shared.value))
-        return made[0]
+        return matcher
 
-    return matcher
+    def cut(self, rows: DataFrame, name: str) -> DataFrame:
+        """Every fourth pass is held, so that plans stay short and the driver keeps few blocks."""
+        if len(self.live) < 4:
+            return rows
+        out = hold(rows, name)
+        for b in self.live:
+            b.destroy()
+        self.live = []
+        if self.table is not None:
+            release(self.table)
+        self.table = out
+        return out
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -154,9 +182,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     none = F.array().cast("array<long>")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), none.alias("item_ids"), F.lit(None).cast("long").alias("least_distance"))
-    schema = rows.schema
-    for i, block in enumerate(_blocks(benchmark)):
-        matcher = _matcher(docs, block)
+    schema, shared = rows.schema, _Shared()
+    for block in _blocks(benchmark):
+        rows = shared.cut(rows, "matched")
+        matcher = shared.matcher(docs, block)
 
         def run(batches: Iterator[pa.RecordBatch], matcher=matcher) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -165,14 +194,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 least = [min([*f.values(), *([] if x is None else [x])], default=None) for x, f in zip(batch.column("least_distance").to_pylist(), found, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(ids, pa.list_(pa.int64())), pa.array(least, pa.int64())], names=["doc_id", "text", "item_ids", "least_distance"])
 
-        rows = (hold(rows, "matched") if i and i % 4 == 0 else rows).mapInArrow(run, schema)
+        rows = rows.mapInArrow(run, schema)
     return rows.select("doc_id", F.size("item_ids").cast("long").alias("n_items"), "item_ids", "least_distance", (F.size("item_ids") > 0).alias("contaminated"))
 
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a test item, with all their columns; one narrow pass per block of items."""
-    out = docs
-    for i, block in enumerate(_blocks(benchmark)):
-        matcher = _matcher(docs, block)
-        out = filter_texts(hold(out, "decontaminated") if i and i % 4 == 0 else out, lambda items, matcher=matcher: [not matcher().match(t) for t in items])
+    out, shared = docs, _Shared()
+    for block in _blocks(benchmark):
+        out = shared.cut(out, "decontaminated")
+        matcher = shared.matcher(docs, block)
+        out = filter_texts(out, lambda items, matcher=matcher: [not matcher().match(t) for t in items])
     return out
