@@ -5,6 +5,9 @@
 3. Every word has a score per language; Viterbi with a switching penalty labels the words, so that runs of one
    language become spans. The document's language is the one with most letters.
 
+Any number of languages is learned: the model takes 128 KB for each, and what is held at once while texts are scored has
+a bound of its own (long texts go through Viterbi in blocks of words, of which bits remain).
+
 Defined results: null texts and texts without a letter are ``und`` with score 0; repeated rows each give a row; extra
 columns are ignored; without training rows all are ``und``; a null id is never held out and never learned from; ties go
 to the language first in order; texts are read whole.
@@ -24,8 +27,10 @@ from .common import chunks, corpus_sum, crc_mod, held_out, texts
 
 FOLDS, HELD = 5, 0
 TABLE = 1 << 15
-#: Languages that one model may hold: its tables grow with them.
-MAX_LANGUAGES = 400
+#: Languages counted in one pass; more take more passes, so that a task's table has a bound whatever the column holds.
+COUNTED = 128
+#: Scores (words times languages) that are held at once.
+HELD_SCORES = 4_000_000
 SWITCH, SMOOTH = 12.0, 0.5
 #: A language uses a script that makes up this share of its letters.
 SCRIPT_SHARE = 0.02
@@ -71,10 +76,14 @@ class Model:
         at, starts, keys, scripts = letters(lowered)
         if not len(at):
             return at, at, np.zeros((0, len(self.languages)), np.float32)
+        return at[starts], np.diff(np.append(starts, len(at))), self.scored(keys, starts, scripts[starts])
+
+    def scored(self, keys: np.ndarray, starts: np.ndarray, scripts: np.ndarray) -> np.ndarray:
+        """Scores per language of words that begin at ``starts`` among the letters, in ``scripts``."""
         found = np.add.reduceat(self.scores[keys], starts, axis=0)
-        fits = self.uses[scripts[starts]]
+        fits = self.uses[scripts]
         fits |= ~fits.any(1, keepdims=True)
-        return at[starts], np.diff(np.append(starts, len(at))), np.where(fits, found, np.float32(-1e6))
+        return np.where(fits, found, np.float32(-1e6))
 
 
 def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float = SWITCH) -> np.ndarray:
@@ -108,13 +117,61 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float = SWITCH) -> n
     return labels
 
 
-def label_texts(items: list[str], model: Model) -> list[list[tuple[int, int, int]] | None]:
+def viterbi_blocks(blocks: Iterator[np.ndarray], penalty: float = SWITCH) -> np.ndarray:
+    """The same for one document whose scores come in blocks of words: only a bit per word and language is kept."""
+    best: np.ndarray | None = None
+    bits: list[np.ndarray] = []
+    switch_to: list[np.ndarray] = []
+    for block in blocks:
+        switched, to = np.zeros(block.shape, bool), np.zeros(len(block), np.int32)
+        for t, row in enumerate(block.astype(np.float64)):
+            if best is None:
+                best = row
+                continue
+            top = int(best.argmax())
+            moved = best[top] - penalty
+            switched[t], to[t] = moved > best, top
+            best = np.maximum(best, moved) + row
+        bits.append(np.packbits(switched, axis=1))
+        switch_to.append(to)
+    state = int(best.argmax())
+    labels: list[np.ndarray] = []
+    for packed, to in zip(reversed(bits), reversed(switch_to), strict=True):
+        own = np.zeros(len(to), np.int32)
+        for t in range(len(to) - 1, -1, -1):
+            own[t] = state
+            if packed[t, state >> 3] >> (7 - (state & 7)) & 1:
+                state = int(to[t])
+        labels.append(own)
+    return np.concatenate(labels[::-1])
+
+
+def _label_long(lowered: str, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    at, starts, keys, scripts = letters(lowered)
+    ends = np.append(starts[1:], len(at))
+    step = max(1, HELD_SCORES // len(model.languages) // 8)  # words have several letters, whose scores are gathered first
+
+    def blocks() -> Iterator[np.ndarray]:
+        for i in range(0, len(starts), step):
+            a, b = starts[i], ends[min(i + step, len(starts)) - 1]
+            yield model.scored(keys[a:b], starts[i : i + step] - a, scripts[starts[i : i + step]])
+
+    return at[starts], ends - starts, viterbi_blocks(blocks())
+
+
+def label_texts(items: list[str], model: Model) -> list[tuple[np.ndarray, np.ndarray, np.ndarray] | None]:
     """Per text the words' (place, letters, label); None without a letter. Places are those of the text in lower case."""
     out: list = [None] * len(items)
     if not model.languages:
         return out
     order = sorted(range(len(items)), key=lambda i: len(items[i]))  # alike lengths together
-    for a, b in chunks([items[i] for i in order], 500_000):
+    limit = min(500_000, max(1000, HELD_SCORES // len(model.languages)))  # a word and its score vector for every two characters at most
+    for a, b in chunks([items[i] for i in order], limit):
+        if b - a == 1 and len(items[order[a]]) > limit:
+            lowered = items[order[a]].lower()
+            if len(letters(lowered)[0]):
+                out[order[a]] = _label_long(lowered, model)
+            continue
         found = [(i, model.words(items[i].lower())) for i in order[a:b]]
         found = [(i, w) for i, w in found if len(w[0])]
         if not found:
@@ -155,9 +212,29 @@ def text_spans(text: str, model: Model) -> list[tuple[int, int, str]]:
 def fit(docs: DataFrame) -> Model:
     """Learn from text and lang of the rows outside the held-out fold, all of them."""
     train = docs.select("doc_id", F.col("text").cast("string").alias("text"), "lang").filter((crc_mod("doc_id", FOLDS) != HELD) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    languages = [r.lang for r in train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").limit(MAX_LANGUAGES + 1).collect()]
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    languages = sorted(r.lang for r in train.select("lang").distinct().collect())
+    if not languages:
+        return Model([], np.zeros((TABLE, 0), np.float32), np.zeros((len(SCRIPTS), 0), bool))
+    scores, uses = np.zeros((TABLE, len(languages)), np.float32), np.zeros((len(SCRIPTS), len(languages)), bool)
+    totals, common = np.zeros(len(languages)), np.zeros(TABLE)
+    for a in range(0, len(languages), COUNTED):
+        part = languages[a : a + COUNTED]
+        rows = train if len(part) == len(languages) else train.filter(F.col("lang").isin(part))
+        table = _count(rows.select("text", "lang"), part)
+        trigrams, scripts = table[:, :TABLE], table[:, TABLE:]
+        scores[:, a : a + COUNTED] = trigrams.T  # whole numbers, exact to 2 ** 24 and within 1e-7 beyond
+        totals[a : a + COUNTED] = trigrams.sum(1)
+        common += ((trigrams + 1e-9) / (trigrams.sum(1, keepdims=True) + 1e-9 * TABLE)).sum(0)
+        uses[:, a : a + COUNTED] = (scripts >= SCRIPT_SHARE * np.maximum(1, scripts.sum(1, keepdims=True))).T
+    # every language is smoothed towards the mean of all
+    common = common / len(languages) + 1e-7
+    for i in range(len(languages)):
+        scores[:, i] = np.log((scores[:, i].astype(np.float64) + SMOOTH * TABLE * common / 50) / (totals[i] + SMOOTH * TABLE / 50 * common.sum()))
+    return Model(languages, scores, uses)
+
+
+def _count(rows: DataFrame, languages: list[str]) -> np.ndarray:
+    """Trigrams and scripts per language, a row each."""
     number, width = {x: i for i, x in enumerate(languages)}, TABLE + len(SCRIPTS)
 
     def fill(batch: pa.RecordBatch, table: np.ndarray) -> None:
@@ -171,16 +248,7 @@ def fit(docs: DataFrame) -> Model:
                 own[:TABLE] += np.bincount(keys, minlength=TABLE)
                 own[TABLE:] += np.bincount(scripts, minlength=len(SCRIPTS))
 
-    if not languages:
-        return Model([], np.zeros((TABLE, 0), np.float32), np.zeros((len(SCRIPTS), 0), bool))
-    table = corpus_sum(train.select("text", "lang"), fill, width * len(languages)).reshape(len(languages), width)
-    counts, scripts = table[:, :TABLE], table[:, TABLE:]
-    # every language is smoothed towards the mean of all
-    shares = (counts + 1e-9) / (counts.sum(1, keepdims=True) + 1e-9 * TABLE)
-    common = shares.mean(0) + 1e-7
-    logs = np.log((counts + SMOOTH * TABLE * common / 50) / (counts.sum(1, keepdims=True) + SMOOTH * TABLE / 50 * common.sum()))
-    uses = scripts >= SCRIPT_SHARE * np.maximum(1, scripts.sum(1, keepdims=True))
-    return Model(languages, np.ascontiguousarray(logs.T).astype(np.float32), np.ascontiguousarray(uses.T))
+    return corpus_sum(rows, fill, width * len(languages)).reshape(len(languages), width)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
