@@ -1,13 +1,14 @@
 """Quality classifier (operator 4): random-indexing word vectors, pooled, and a two-layer network.
 
 1. Every token has a sparse random index vector fixed by its hash. Over the whole training fold each token's context
-   vector is the sum of its neighbours' index vectors, two to either side (``corpus_sum``: every row, one fixed table).
-2. A document is the mean of its tokens' normalised context vectors, with its share of distinct tokens and its length.
+   vector is the sum of its neighbours' index vectors, two to either side (every row; a row of sums per bucket leaves a task).
+2. A document is the mean of its tokens' context vectors, divided by their lengths plus a constant, with its share of distinct tokens and its length.
 3. A two-layer numpy network is fitted on a bounded labelled sample; a temperature fitted on rows set aside from it
    calibrates its probabilities.
 
 Tokens are runs of letters, of digits or of one kind of sign; a word of capitals counts as one marker token. They are
-hashed into a fixed number of buckets, so the tables have a fixed size whatever the vocabulary.
+hashed into 2 ** 18 buckets, so that words rarely share one and yet the tables have a bound whatever the vocabulary: 50 MB
+of vectors. Only buckets that occur are gathered and kept.
 
 Defined results: null and empty texts pool to a zero vector and get its score; repeated rows each give a row; extra
 columns are ignored; with labels of one kind or none the score is that kind's share (0.5 without labels); a null id is
@@ -26,20 +27,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, corpus_sum, crc_mod, filter_texts, held_out, labelled_sample, texts
+from .common import chunks, crc_mod, filter_texts, held_out, labelled_sample, texts
 
 FOLDS, HELD = 5, 0
 #: Labelled documents that the network is fitted on, at most.
 SAMPLE = 20_000
 THRESHOLD = 0.3
-BUCKETS, DIMS, NONZERO, REACH = 4096, 48, 4, 2
+BUCKETS, DIMS, NONZERO, REACH = 1 << 18, 48, 4, 2
+#: Buckets whose sums travel together.
+SHARD = 1024
+#: Added to a context vector's length before it is divided by it: words met a few times only, whose contexts tell of the
+#: few documents that they are from, count less.
+SHRINK = 20.0
 HIDDEN, EPOCHS, SEED = 32, 60, 7
 _TOKENS = re.compile(r"[^\W\d_]+|\d+|([^\w\s])\1*|_+")
 
-_rng = np.random.default_rng(SEED)
-#: Of each bucket's index vector, where it isn't zero, and the signs there.
-PLACES = np.argsort(_rng.random((BUCKETS, DIMS)), axis=1)[:, :NONZERO]
-SIGNS = _rng.choice([-1.0, 1.0], (BUCKETS, NONZERO))
+
+def index_vectors(buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each bucket's index vector isn't zero, one place in each of NONZERO parts of the vector, and the signs there."""
+    k = np.arange(NONZERO, dtype=np.uint64)
+    h = (buckets.astype(np.uint64)[:, None] * np.uint64(NONZERO) + k + np.uint64(SEED)) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(29)
+    part = DIMS // NONZERO
+    return (k * np.uint64(part) + (h >> np.uint64(8)) % np.uint64(part)).astype(np.int64), 1.0 - 2.0 * (h & np.uint64(1)).astype(np.float64)
 
 
 class _Buckets(dict):
@@ -56,31 +67,77 @@ def tokenise(text: str, buckets: _Buckets) -> np.ndarray:
     return np.fromiter(map(buckets.__getitem__, found), np.int64, len(found))
 
 
-def add_contexts(ids: np.ndarray, table: np.ndarray) -> None:
-    """Add the neighbours' index vectors to each token's row of the flat table; -1 separates documents."""
+class Sums:
+    """Sums of context vectors of the buckets met so far."""
+
+    def __init__(self) -> None:
+        self.index = np.full(BUCKETS, -1, np.int32)
+        self.values = np.zeros((1024, DIMS))
+        self.n = 0
+
+    def rows(self, buckets: np.ndarray) -> np.ndarray:
+        """Row numbers of buckets that differ; new ones get a row."""
+        new = buckets[self.index[buckets] < 0]
+        if len(new):
+            self.index[new] = np.arange(self.n, self.n + len(new))
+            self.n += len(new)
+            while self.n > len(self.values):
+                self.values = np.concatenate((self.values, np.zeros_like(self.values)))
+        return self.index[buckets]
+
+    def add(self, buckets: np.ndarray, values: np.ndarray) -> None:
+        rows = self.rows(buckets)  # first: it may move the table
+        self.values[rows] += values
+
+    def shards(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(shard, buckets, sums) of all that were met."""
+        met = np.flatnonzero(self.index >= 0)
+        for part in np.split(met, np.flatnonzero(np.diff(met // SHARD)) + 1):
+            if len(part):
+                yield int(part[0]) // SHARD, part, self.values[self.index[part]]
+
+
+def add_contexts(ids: np.ndarray, sums: Sums) -> None:
+    """Add the neighbours' index vectors to each token's row; -1 separates documents."""
+    kinds, own = np.unique(ids, return_inverse=True)
+    places, signs = index_vectors(np.maximum(kinds, 0))
+    found = np.zeros(len(kinds) * DIMS)
     for gap in range(1, REACH + 1):
-        a, b = ids[:-gap], ids[gap:]
-        both = (a >= 0) & (b >= 0)
-        if gap == 2:
-            both &= ids[1:-1] >= 0
-        a, b = a[both], b[both]
+        both = (ids[:-gap] >= 0) & (ids[gap:] >= 0)
+        for between in range(1, gap):
+            both &= ids[between : len(ids) - gap + between] >= 0
+        a, b = own[:-gap][both], own[gap:][both]
         for here, there in ((a, b), (b, a)):
             for k in range(NONZERO):
-                table += np.bincount(here * DIMS + PLACES[there, k], SIGNS[there, k], minlength=len(table))
+                found += np.bincount(here * DIMS + places[there, k], signs[there, k], minlength=len(found))
+    real = kinds >= 0
+    sums.add(kinds[real], found.reshape(len(kinds), DIMS)[real])
+
+
+@dataclass
+class Vectors:
+    index: np.ndarray  # of each bucket the row of its vector, or -1
+    values: np.ndarray
 
+    def of(self, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which buckets have a vector, and their vectors."""
+        at = self.index[buckets]
+        return at >= 0, self.values[at[at >= 0]]
 
-def word_vectors(table: np.ndarray) -> np.ndarray:
-    vectors = table.reshape(BUCKETS, DIMS)
-    norm = np.linalg.norm(vectors, axis=1, keepdims=True)
-    return (vectors / np.maximum(norm, 1e-9)).astype(np.float32)
 
+def word_vectors(sums: Sums) -> Vectors:
+    values = sums.values[: sums.n]
+    norm = np.linalg.norm(values, axis=1, keepdims=True)
+    return Vectors(sums.index, (values / (norm + SHRINK)).astype(np.float32))
 
-def pool(text: str, vectors: np.ndarray, buckets: _Buckets) -> np.ndarray:
+
+def pool(text: str, vectors: Vectors, buckets: _Buckets) -> np.ndarray:
     out = np.zeros(DIMS + 2, np.float32)
     ids = tokenise(text, buckets)
     if len(ids):
         kinds, n = np.unique(ids, return_counts=True)
-        out[:DIMS] = n.astype(np.float32) @ vectors[kinds] / len(ids)
+        known, found = vectors.of(kinds)
+        out[:DIMS] = n[known].astype(np.float32) @ found / len(ids)
         out[DIMS] = len(kinds) / len(ids)
         out[DIMS + 1] = np.log1p(len(ids)) / 10
     return out
@@ -103,6 +160,22 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.logits(x) / self.temperature, -30, 30)))
 
 
+def loss_and_gradients(params: list[np.ndarray], z: np.ndarray, y: np.ndarray, decay: float = 1e-4) -> tuple[float, list[np.ndarray]]:
+    """Mean logistic loss with weight decay, and its gradients by the parameters (w1, b1, w2, b2)."""
+    w1, b1, w2, b2 = params
+    h = np.tanh(z @ w1 + b1)
+    logit = np.clip(h @ w2 + b2, -30, 30)
+    loss = float(np.logaddexp(0, np.where(y > 0, -logit, logit)).mean() + decay / 2 * ((w1 * w1).sum() + (w2 * w2).sum()))
+    d = (1 / (1 + np.exp(-logit)) - y) / len(y)
+    dh = np.outer(d, w2) * (1 - h * h)
+    return loss, [z.T @ dh + decay * w1, dh.sum(0), h.T @ d + decay * w2, np.array([d.sum()])]
+
+
+def best_temperature(logit: np.ndarray, y: np.ndarray) -> float:
+    """Of 60 temperatures from 0.5 to 5 the one of least logistic loss."""
+    return float(min(np.geomspace(0.5, 5, 60), key=lambda t: np.logaddexp(0, np.where(y > 0, -logit, logit) / t).mean()))
+
+
 def train_network(x: np.ndarray, y: np.ndarray, seed: int = SEED) -> Network:
     """Adam on the logistic loss; the temperature is the one of least loss on every fifth row, which training never sees."""
     rng = np.random.default_rng(seed)
@@ -116,24 +189,20 @@ def train_network(x: np.ndarray, y: np.ndarray, seed: int = SEED) -> Network:
         order = rng.permutation(len(y))
         for at in range(0, len(y), 256):
             rows = order[at : at + 256]
-            h = np.tanh(z[rows] @ params[0] + params[1])
-            d = (1 / (1 + np.exp(-np.clip(h @ params[2] + params[3], -30, 30))) - y[rows]) / len(rows)
-            dh = np.outer(d, params[2]) * (1 - h * h)
             step += 1
-            for i, g in enumerate((z[rows].T @ dh + 1e-4 * params[0], dh.sum(0), h.T @ d + 1e-4 * params[2], np.array([d.sum()]))):
+            for i, g in enumerate(loss_and_gradients(params, z[rows], y[rows])[1]):
                 m[i] = 0.9 * m[i] + 0.1 * g
                 v[i] = 0.999 * v[i] + 0.001 * g * g
                 params[i] -= 0.003 * (m[i] / (1 - 0.9**step)) / (np.sqrt(v[i] / (1 - 0.999**step)) + 1e-8)
     net.b2 = float(params[3][0])
     if len(set(ya.tolist())) == 2:
-        logit = net.logits(xa)
-        net.temperature = float(min(np.geomspace(0.5, 5, 60), key=lambda t: np.logaddexp(0, np.where(ya > 0, -logit, logit) / t).mean()))
+        net.temperature = best_temperature(net.logits(xa), ya)
     return net
 
 
 @dataclass
 class Model:
-    vectors: np.ndarray
+    vectors: Vectors
     network: Network | None
     share: float
 
@@ -145,20 +214,43 @@ class Model:
         return self.network.probability(np.stack([pool(t, self.vectors, buckets) for t in items]).astype(np.float64))
 
 
-def fit_vectors(docs: DataFrame) -> np.ndarray:
-    buckets: list[_Buckets] = []
+def fit_vectors(docs: DataFrame, salts: int = 16) -> Vectors:
+    """Context vectors of all rows. Each task adds up its own rows; what it met is folded as streams in two levels."""
+    schema = "shard int, buckets binary, vals binary"
+    arrow = pa.schema([("shard", pa.int32()), ("buckets", pa.binary()), ("vals", pa.binary())])
+
+    def emit(sums: Sums) -> Iterator[pa.RecordBatch]:
+        for shard, buckets, values in sums.shards():
+            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([buckets.astype(np.int32).tobytes()], pa.binary()), pa.array([values.tobytes()], pa.binary())], schema=arrow)
+
+    def add_all(sums: Sums, rows: Iterator[tuple[bytes, bytes]]) -> None:
+        for buckets, values in rows:
+            sums.add(np.frombuffer(buckets, np.int32), np.frombuffer(values).reshape(-1, DIMS))
 
-    def fill(batch: pa.RecordBatch, table: np.ndarray) -> None:
-        known = buckets[0] if buckets else _Buckets()
-        items, apart = texts(batch), np.array([-1])
-        for a, b in chunks(items, 2_000_000):
-            add_contexts(np.concatenate([x for t in items[a:b] for x in (tokenise(t, known), apart)]), table)
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, known, apart = Sums(), _Buckets(), np.array([-1])
+        for batch in batches:
+            items = texts(batch)
+            for a, b in chunks(items, 2_000_000):
+                add_contexts(np.concatenate([x for t in items[a:b] for x in (tokenise(t, known), apart)]), sums)
+        yield from emit(sums)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = Sums()
+        for batch in batches:
+            add_all(sums, zip(batch.column("buckets").to_pylist(), batch.column("vals").to_pylist(), strict=True))
+        yield from emit(sums)
 
-    return word_vectors(corpus_sum(docs.select(F.col("text").cast("string").alias("text")), fill, BUCKETS * DIMS))
+    parts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(part, schema).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    once = parts.repartition("shard", "salt").select("shard", "buckets", "vals").mapInArrow(fold, schema)
+    total = Sums()
+    # in order of bucket, so that the rows don't depend on the order of arrival
+    add_all(total, ((r.buckets, r.vals) for r in sorted(once.repartition("shard").mapInArrow(fold, schema).collect(), key=lambda r: r.shard)))
+    return word_vectors(total)
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn from the rows outside the held-out fold. The driver gets the vector table and ``sample`` pooled vectors at most."""
+    """Learn from the rows outside the held-out fold. The driver gets the vectors (50 MB at most) and ``sample`` pooled vectors at most."""
     train = docs.select("doc_id", "text").filter(crc_mod("doc_id", FOLDS) != HELD)
     vectors = fit_vectors(train)
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
@@ -171,8 +263,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     chosen = labelled_sample(labels, "quality", FOLDS, HELD, sample)
     rows = train.join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "target")
-    # repeated rows of a document would lift the bound
-    found = sorted({(r.doc_id, r.target, bytes(r.x)) for r in rows.mapInArrow(run, "doc_id long, target int, x binary").dropDuplicates(["doc_id"]).collect()})
+    # one row a document: repeated rows would lift the bound; of different texts of one id the least vector counts, in any order
+    found = sorted((r.doc_id, r.target, bytes(r.x)) for r in rows.mapInArrow(run, "doc_id long, target int, x binary").groupBy("doc_id").agg(F.min("target").alias("target"), F.min("x").alias("x")).collect())
     y = np.array([r[1] for r in found], np.float64)
     if len(set(y.tolist())) < 2:
         return Model(vectors, None, float(y.mean()) if len(y) else 0.5)
