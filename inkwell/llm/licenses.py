@@ -2,8 +2,11 @@
 
 A text is normalised as license matching guidelines advise: lower case, copyright lines dropped, every run of
 non-alphanumerics one space, equivalent spellings unified. The SHA-256 of what is left is hash-joined to the digests of
-known licenses; the list of these is a parameter and is broadcast only up to a number of rows. Lines that speak of a
-license are looked up in the same way among known notices.
+known texts: whole licenses (a file each in ``data/licenses``) and notices and standard headers (``data/notices.tsv``).
+Entire texts are looked up, and so are lines and paragraphs that speak of a license, all in the one table; it is
+broadcast only up to a number of rows.
+
+Only documents that speak of a license at all have their parts exploded and gathered again, by their digests.
 
 Defined results: null texts have a null digest and no license; texts without words have the digest of the empty
 string, which is no known license; repeated rows each give a row; extra columns are ignored; texts are read whole.
@@ -11,13 +14,17 @@ string, which is no known license; repeated rows each give a row; extra columns
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Lists of known licenses of at most so many rows are broadcast.
+#: Tables of known digests (64 digits and a name each) of at most so many rows are broadcast: 10 MB.
 BROADCAST_ROWS = 100_000
+DATA = Path(__file__).resolve().parent / "data"
 
-COPYRIGHT_LINE = r"(?m)^[^\S\n]*(?:copyright[^\S\n]*(?:\(c\)|©|[0-9<\[{]|by )|©|\(c\)[^\S\n]|all rights reserved)[^\n]*$"
+COPYRIGHT_LINE = r"(?m)^[^\S\n]*(?:copyright[^\S\n]*(?:\(c\)|©|[0-9<\[{]|by )|©|\(c\)[^\S\n]*(?:copyright|[0-9<\[{])|all rights reserved)[^\n]*$"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 #: Equivalent spellings, as substrings of normalised text.
 SPELLINGS = (
@@ -25,60 +32,15 @@ SPELLINGS = (
     ("copyright owner", "copyright holder"), ("authorisation", "authorization"), ("per cent", "percent"), ("merchantibility", "merchantability"),
 )
 
-_WARRANTY = (
-    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
-    "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."
-)
-_BSD_END = (
-    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED '
-    "WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, "
-    "INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR "
-    "PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) "
-    "ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
-)
-_BSD_START = (
-    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n"
-    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n"
-    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
-    "materials provided with the distribution.\n"
-)
-#: Whole texts of licenses, by SPDX identifier.
-LICENSES = {
-    "MIT": "MIT License\nPermission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "
-    '"Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or '
-    "sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:\n"
-    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\n"
-    + _WARRANTY
-    + " IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING "
-    "FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
-    "ISC": "ISC License\nPermission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above "
-    "copyright notice and this permission notice appear in all copies.\n"
-    'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN '
-    "NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
-    "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
-    "BSD-2-Clause": "BSD 2-Clause License\n" + _BSD_START + _BSD_END,
-    "BSD-3-Clause": "BSD 3-Clause License\n"
-    + _BSD_START
-    + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific "
-    "prior written permission.\n" + _BSD_END,
-    "Unlicense": "This is free and unencumbered software released into the public domain.\nAnyone is free to copy, modify, publish, use, compile, sell, or distribute this "
-    "software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.\nIn jurisdictions that recognize copyright "
-    "laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the "
-    "public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future "
-    "rights to this software under copyright law.\n"
-    + _WARRANTY
-    + " IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN "
-    "CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.\nFor more information, please refer to <https://unlicense.org/>",
-}
-#: Notices of one line. Each holds "licen", which serves to find the lines worth normalising.
-NOTICES = {
-    "Apache-2.0": ("Licensed under the Apache License, Version 2.0.", "SPDX-License-Identifier: Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License");'),
-    "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3.", "SPDX-License-Identifier: GPL-3.0-only", "Licensed under the GNU General Public License v3.0."),
-    "MIT": ("Released under the MIT License.", "SPDX-License-Identifier: MIT", "Licensed under the MIT License."),
-    "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "SPDX-License-Identifier: CC-BY-NC-4.0"),
-    "CC-BY-4.0": ("Licensed under CC BY 4.0.", "SPDX-License-Identifier: CC-BY-4.0"),
-    "BSD-3-Clause": ("SPDX-License-Identifier: BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
-}
+#: Lines and paragraphs are worth normalising if they hold this.
+MARK = "licen"
+PARAGRAPHS = r"\n[ \t\r]*\n"
+
+
+def known_texts(folder: Path = DATA) -> list[tuple[str, str]]:
+    """(license, text) of all whole licenses and notices."""
+    whole = [(p.stem, p.read_text()) for p in sorted((folder / "licenses").glob("*.txt"))]
+    return whole + [tuple(x.split("\t")) for x in (folder / "notices.tsv").read_text().splitlines() if x]
 
 
 def canonical(text: Column) -> Column:
@@ -93,21 +55,29 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
-def known_digests(spark: SparkSession, texts: dict[str, str]) -> DataFrame:
+def known_digests(spark: SparkSession, texts: Iterable[tuple[str, str]]) -> DataFrame:
     """(digest, license_id) of the texts, a row per digest."""
-    rows = spark.createDataFrame(list(texts.items()), "license_id string, text string")
+    rows = spark.createDataFrame(list(texts), "license_id string, text string")
     return rows.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license_id").alias("license_id"))
 
 
-def scan(docs: DataFrame, known: DataFrame, notices: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
-    """doc_id, digest, license_id (of the entire text), notices (licenses of known lines, sorted, comma-joined), n_license_lines."""
-    pairs = [F.struct(digest(F.lit(line)), F.lit(name)) for name, lines in (NOTICES if notices is None else notices).items() for line in lines]
-    text = F.col("text").cast("string")
-    lines = F.filter(F.split(text, "\n"), lambda x: F.contains(F.lower(x), F.lit("licen")))
-    lines = F.when(F.contains(F.lower(text), F.lit("licen")), lines).otherwise(F.array().cast("array<string>"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest(text).alias("digest"), F.coalesce(lines, F.array().cast("array<string>")).alias("lines"))
-    by_digest = F.map_from_entries(F.array(*pairs))
-    found = F.array_compact(F.transform("lines", lambda x: F.try_element_at(by_digest, digest(x))))
-    few = known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    joined = rows.join(F.broadcast(known) if few else known, "digest", "left")
-    return joined.select("doc_id", "digest", "license_id", F.array_join(F.array_sort(F.array_distinct(found)), ",").alias("notices"), F.size("lines").cast("long").alias("n_license_lines"))
+def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """doc_id, digest, license_id (of the entire text), notices (licenses of known lines and paragraphs, sorted, comma-joined), n_license_lines."""
+    if known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        known = F.broadcast(known)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    speaks = lambda x: F.coalesce(F.contains(F.lower(x), F.lit(MARK)), F.lit(False))
+    silent = rows.filter(~speaks(F.col("text"))).select("doc_id", digest(F.col("text")).alias("digest")).join(known, "digest", "left")
+    silent = silent.select("doc_id", "digest", "license_id", F.lit("").alias("notices"), F.lit(0).cast("long").alias("n_license_lines"))
+    told = rows.filter(speaks(F.col("text"))).withColumn("row", F.monotonically_increasing_id())
+    lines = F.filter(F.split("text", "\n"), speaks)
+    paragraphs = F.filter(F.split("text", PARAGRAPHS), lambda x: speaks(x) & F.contains(x, F.lit("\n")))
+    part = lambda kind, x: F.struct(F.lit(kind).alias("kind"), digest(x).alias("digest"))
+    parts = F.concat(F.array(part("text", F.col("text"))), F.transform(lines, lambda x: part("line", x)), F.transform(paragraphs, lambda x: part("paragraph", x)))
+    units = told.select("row", "doc_id", F.explode(parts).alias("unit")).select("row", "doc_id", "unit.kind", "unit.digest").join(known, "digest", "left")
+    whole = F.col("kind") == "text"
+    found = units.groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"), F.max(F.when(whole, F.col("digest"))).alias("digest"), F.max(F.when(whole, F.col("license_id"))).alias("license_id"),
+        F.array_join(F.array_sort(F.collect_set(F.when(~whole, F.col("license_id")))), ",").alias("notices"), F.count_if(F.col("kind") == "line").alias("n_license_lines"),
+    )
+    return silent.unionByName(found.drop("row"))
