@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 
 import corpus_pipeline
+from inkwell.llm import common
 from inkwell.llm.registry import ORACLE_SQL, QUERIES
 
 
@@ -46,6 +47,45 @@ def test_stages(spark, corpus):
     assert mixed.columns == [*columns, "copy_no"] and {r.doc_id for r in mixed.collect()} <= kept["decontamination"]
 
 
+def test_repeated_ids(spark, corpus, tmp_path):
+    """Texts that differ under one id, and rows without an id, pass all stages; reruns agree."""
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    more = docs.union(docs.selectExpr("doc_id + 1", "text", "lang", "source", "n_chars").limit(200)).union(docs.selectExpr("cast(null as long)", "concat(text, ' other')", "lang", "source", "n_chars").limit(20))
+    more.write.parquet(str(tmp_path / "documents.parquet"))
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{corpus}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    first = sorted(map(str, corpus_pipeline.run(spark, str(tmp_path)).collect()))
+    assert first and sorted(map(str, corpus_pipeline.run(spark, str(tmp_path)).collect())) == first
+
+
+def test_held_tables_are_deleted(spark):
+    df = common.hold(spark.range(3), "test")
+    path = Path(common._held[id(df)].removeprefix("file://"))
+    assert path.exists()
+    common.release(df, df)
+    assert not path.exists()
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Conf:
+        def __init__(self, **held):
+            self.held = held
+
+        def get(self, key, default=None):
+            return self.held.get(key.replace(".", "_"), default)
+
+    class Session:
+        def __init__(self, **held):
+            self.conf = Conf(**held)
+
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        common.shared_dir(Session(spark_master="spark://host:7077"))
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        common.shared_dir(Session(spark_master="local-cluster[3,2,1000]"))
+    assert common.shared_dir(Session(spark_master="spark://host:7077", spark_checkpoint_dir="file:///x/")) == "file:///x"
+    assert common.shared_dir(Session(spark_master="local[4]")).startswith("file://")
+
+
 def test_names():
     assert sorted({int(n[2:].split("_")[0]) for n in QUERIES}) == list(range(1, 11))
     assert set(ORACLE_SQL) <= set(QUERIES) and len(corpus_pipeline.STAGES) == 5
