@@ -97,6 +97,17 @@ class Sums:
                 yield int(part[0]) // SHARD, part, self.values[self.index[part]]
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Sums, which are whole numbers, in the narrowest type that holds them, deflated: most are 0 or 1."""
+    top = np.abs(values).max(initial=0)
+    kind = next((k for k in "bhiq" if top <= np.iinfo(k).max), "q")
+    return kind.encode() + zlib.compress(values.astype(kind).tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data[1:]), data[:1].decode()).astype(np.float64).reshape(-1, DIMS)
+
+
 def add_contexts(ids: np.ndarray, sums: Sums) -> None:
     """Add the neighbours' index vectors to each token's row; -1 separates documents."""
     kinds, own = np.unique(ids, return_inverse=True)
@@ -221,11 +232,11 @@ def fit_vectors(docs: DataFrame, salts: int = 16) -> Vectors:
 
     def emit(sums: Sums) -> Iterator[pa.RecordBatch]:
         for shard, buckets, values in sums.shards():
-            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([buckets.astype(np.int32).tobytes()], pa.binary()), pa.array([values.tobytes()], pa.binary())], schema=arrow)
+            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([buckets.astype(np.int32).tobytes()], pa.binary()), pa.array([packed(values)], pa.binary())], schema=arrow)
 
     def add_all(sums: Sums, rows: Iterator[tuple[bytes, bytes]]) -> None:
         for buckets, values in rows:
-            sums.add(np.frombuffer(buckets, np.int32), np.frombuffer(values).reshape(-1, DIMS))
+            sums.add(np.frombuffer(buckets, np.int32), unpacked(values))
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, known, apart = Sums(), _Buckets(), np.array([-1])

@@ -660,6 +660,14 @@ def test_contexts_equal_brute_force(spark):
     assert quality.pool(text, vectors, quality._Buckets())[: quality.DIMS] == pytest.approx(mean, abs=1e-5)
 
 
+def test_sums_are_packed_without_loss():
+    rng = np.random.default_rng(23)
+    for top in (0, 1, 127, 128, 40_000, 2**31, 2**50):
+        values = rng.integers(-top, top + 1, (7, quality.DIMS)).astype(np.float64)
+        assert (quality.unpacked(quality.packed(values)) == values).all()
+    assert quality.unpacked(quality.packed(np.zeros((0, quality.DIMS)))).shape == (0, quality.DIMS)
+
+
 def test_index_vectors():
     places, signs = quality.index_vectors(np.arange(quality.BUCKETS))
     assert all(len(set(r)) == quality.NONZERO for r in places[:1000].tolist()) and places.min() == 0 and places.max() == quality.DIMS - 1
