@@ -7,7 +7,7 @@
    calibrates its probabilities.
 
 Tokens are runs of letters, of digits or of one kind of sign; a word of capitals counts as one marker token. They are
-hashed into 2 ** 18 buckets, so that words rarely share one and yet the tables have a bound whatever the vocabulary: 50 MB
+hashed into 2 ** 18 buckets, so that words rarely share one and yet the tables have a bound whatever the vocabulary: 25 MB
 of vectors. Only buckets that occur are gathered and kept.
 
 Defined results: null and empty texts pool to a zero vector and get its score; repeated rows each give a row; extra
@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,7 +140,7 @@ class Vectors:
 def word_vectors(sums: Sums) -> Vectors:
     values = sums.values[: sums.n]
     norm = np.linalg.norm(values, axis=1, keepdims=True)
-    return Vectors(sums.index, (values / (norm + SHRINK)).astype(np.float32))
+    return Vectors(sums.index, (values / (norm + SHRINK)).astype(np.float16))
 
 
 def pool(text: str, vectors: Vectors, buckets: _Buckets) -> np.ndarray:
@@ -148,7 +149,7 @@ def pool(text: str, vectors: Vectors, buckets: _Buckets) -> np.ndarray:
     if len(ids):
         kinds, n = np.unique(ids, return_counts=True)
         known, found = vectors.of(kinds)
-        out[:DIMS] = n[known].astype(np.float32) @ found / len(ids)
+        out[:DIMS] = n[known].astype(np.float32) @ found.astype(np.float32) / len(ids)
         out[DIMS] = len(kinds) / len(ids)
         out[DIMS + 1] = np.log1p(len(ids)) / 10
     return out
@@ -213,16 +214,20 @@ def train_network(x: np.ndarray, y: np.ndarray, seed: int = SEED) -> Network:
 
 @dataclass
 class Model:
+    """``shared``: the vectors as a broadcast, made once for fitting and scoring."""
+
     vectors: Vectors
     network: Network | None
     share: float
+    shared: Broadcast | None = None
+
 
-    def score(self, items: list[str], buckets: _Buckets) -> np.ndarray:
-        if self.network is None:
-            return np.full(len(items), self.share)
-        if not items:
-            return np.zeros(0)
-        return self.network.probability(np.stack([pool(t, self.vectors, buckets) for t in items]).astype(np.float64))
+def scores_of(items: list[str], vectors: Vectors, network: Network | None, share: float, buckets: _Buckets) -> np.ndarray:
+    if network is None:
+        return np.full(len(items), share)
+    if not items:
+        return np.zeros(0)
+    return network.probability(np.stack([pool(t, vectors, buckets) for t in items]).astype(np.float64))
 
 
 def fit_vectors(docs: DataFrame, salts: int = 16) -> Vectors:
@@ -261,7 +266,7 @@ def fit_vectors(docs: DataFrame, salts: int = 16) -> Vectors:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn from the rows outside the held-out fold. The driver gets the vectors (50 MB at most) and ``sample`` pooled vectors at most."""
+    """Learn from the rows outside the held-out fold. The driver gets the vectors (200 MB of sums at most, 25 MB when rounded) and ``sample`` pooled vectors at most."""
     train = docs.select("doc_id", "text").filter(crc_mod("doc_id", FOLDS) != HELD)
     vectors = fit_vectors(train)
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
@@ -278,17 +283,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     found = sorted((r.doc_id, r.target, bytes(r.x)) for r in rows.mapInArrow(run, "doc_id long, target int, x binary").groupBy("doc_id").agg(F.min("target").alias("target"), F.min("x").alias("x")).collect())
     y = np.array([r[1] for r in found], np.float64)
     if len(set(y.tolist())) < 2:
-        return Model(vectors, None, float(y.mean()) if len(y) else 0.5)
-    return Model(vectors, train_network(np.stack([np.frombuffer(r[2], np.float32) for r in found]).astype(np.float64), y), float(y.mean()))
+        return Model(vectors, None, float(y.mean()) if len(y) else 0.5, shared)
+    return Model(vectors, train_network(np.stack([np.frombuffer(r[2], np.float32) for r in found]).astype(np.float64), y), float(y.mean()), shared)
 
 
 def _scorer(model: Model, docs: DataFrame):
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    buckets = _Buckets()
+    shared = model.shared or docs.sparkSession.sparkContext.broadcast(model.vectors)
+    network, share, buckets = model.network, model.share, _Buckets()
 
     def scores(items: list[str]) -> np.ndarray:
-        return shared.value.score(items, buckets)
+        return scores_of(items, shared.value, network, share, buckets)
 
     return scores
 
