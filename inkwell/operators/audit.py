@@ -10,6 +10,8 @@ from .responses import AUDIT, parse, without_fences
 
 MIN_SIZE = 10
 FIRST = {"a_priority": 3, "b_issues": 2, "c_artifacts": 2}
+#: No sample is larger.
+MOST = 12
 
 
 def candidates(clusters: DataFrame, name: str | None = None, min_size: int = MIN_SIZE) -> DataFrame:
@@ -17,7 +19,7 @@ def candidates(clusters: DataFrame, name: str | None = None, min_size: int = MIN
 
 
 def sample_size(count: Column) -> Column:
-    return F.least(F.lit(12), F.greatest(F.lit(8), F.floor(count / 4))).cast("int")
+    return F.least(F.lit(MOST), F.greatest(F.lit(8), F.floor(count / 4))).cast("int")
 
 
 def sample(members: DataFrame, seed: str = "audit") -> DataFrame:
@@ -27,12 +29,18 @@ def sample(members: DataFrame, seed: str = "audit") -> DataFrame:
     """
     by = Window.partitionBy("cluster_name")
     stratum = F.when(F.col("priority") == "high", "a_priority").when(F.col("n_issues") > 0, "b_issues").when(F.col("n_artifacts") > 0, "c_artifacts").otherwise("d_other")
-    m = members.withColumn("n", sample_size(F.col("member_count"))).withColumn("_cards", F.count(F.lit(1)).over(by)).withColumn("stratum", stratum)
-    m = m.withColumn("_at", F.row_number().over(Window.partitionBy("cluster_name", "stratum").orderBy("position")))
-    first = F.coalesce(*[F.when(F.col("stratum") == s, F.col("_at") <= k) for s, k in FIRST.items()], F.lit(False))
-    m = m.withColumn("_first", first.cast("int")).withColumn("_draw", F.md5(F.concat("doc_id", F.lit(seed))))
+    m = members.withColumn("n", sample_size(F.col("member_count"))).withColumn("stratum", stratum).withColumn("_draw", F.md5(F.concat("doc_id", F.lit(seed))))
+    cards = m.groupBy("cluster_name").agg(F.count(F.lit(1)).alias("_cards"))
+    # what can be chosen at all: the first of each stratum, and of the order of drawing as many as remain then; few rows of a
+    # cluster leave a task, so that no task sorts a large cluster
+    first = m.withColumn("_at", F.row_number().over(Window.partitionBy("cluster_name", "stratum").orderBy("position"))).filter(F.col("_at") <= max(FIRST.values()))
+    drawn = m.withColumn("_at", F.row_number().over(by.orderBy("_draw", "position"))).filter(F.col("_at") <= MOST + sum(FIRST.values())).withColumn("_at", F.lit(None).cast("int"))
+    m = first.union(drawn).groupBy("cluster_name", "position").agg(F.min("_at").alias("_at"), *[F.first(c).alias(c) for c in m.columns if c not in ("cluster_name", "position")]).join(cards, "cluster_name")
+    taken = F.coalesce(*[F.when(F.col("stratum") == s, F.col("_at") <= k) for s, k in FIRST.items()], F.lit(False))
+    m = m.withColumn("_first", F.coalesce(taken, F.lit(False)).cast("int"))
     ranked = m.withColumn("sample_rank", F.row_number().over(by.orderBy(F.desc("_first"), F.when(F.col("_first") == 1, F.col("stratum")), F.when(F.col("_first") == 1, F.col("position")), "_draw", "position")))
-    return ranked.filter((F.col("_cards") <= F.col("n")) | (F.col("sample_rank") <= F.col("n"))).drop("_cards", "_at", "_first", "_draw")
+    chosen = ranked.filter((F.col("_cards") <= F.col("n")) | (F.col("sample_rank") <= F.col("n")))
+    return chosen.select(*members.columns, "n", "stratum", "sample_rank")
 
 
 def card_text() -> Column:
@@ -52,9 +60,25 @@ def results(answers: DataFrame) -> DataFrame:
     ok = F.col("_a").isNotNull()
     return a.select(
         "cluster_name", "member_count", F.when(ok, F.coalesce("_a.is_pure", F.lit(True))).otherwise(True).alias("is_pure"),
-        F.when(ok, F.coalesce("_a.recommendation", F.lit("keep_as_is"))).otherwise("keep_as_is").alias("recommendation"), F.when(ok, F.coalesce("_a.confidence", F.lit(0.0))).otherwise(0.0).alias("confidence"), F.col("_a.split_into").alias("split_into"),
+        F.when(ok, F.coalesce("_a.recommendation", F.lit("keep_as_is"))).otherwise("keep_as_is").alias("recommendation"), F.when(ok, F.coalesce("_a.confidence", F.lit(0.0))).otherwise(0.0).alias("confidence"), F.col("_a.split_into").alias("split_into"), F.when(ok, F.coalesce("_a.reasoning", F.lit(""))).otherwise("").alias("reasoning"),
     )
 
 
 def splits(audited: DataFrame) -> DataFrame:
     return audited.filter(F.col("recommendation") == "split")
+
+
+def kept(audited: DataFrame) -> DataFrame:
+    return audited.filter(F.col("recommendation") != "split").select("cluster_name")
+
+
+def rule_answers(prompted: DataFrame) -> DataFrame:
+    """cluster_name, answer: an offline auditor that keeps every cluster."""
+    answer = F.to_json(F.struct(F.lit(True).alias("is_pure"), F.lit("keep_as_is").alias("recommendation"), F.lit(0.5).alias("confidence"), F.lit("kept by rule").alias("reasoning")))
+    return prompted.select("cluster_name", answer.alias("answer"))
+
+
+def summary(audited: DataFrame) -> DataFrame:
+    """One row: clusters audited, splits recommended, clusters kept."""
+    split = F.col("recommendation") == "split"
+    return audited.agg(F.count(F.lit(1)).alias("audited"), F.count_if(split).alias("splits"), F.count_if(~split).alias("kept"))

@@ -53,6 +53,11 @@ def buckets(cards: DataFrame) -> DataFrame:
     return b.select("bucket_key", "doc_ids", F.get(parts, F.lit(0)).alias("primary_domain"), F.coalesce(F.get(parts, F.lit(1)), F.lit(UNKNOWN)).alias("primary_pattern"), "doc_count")
 
 
+def bucket_members(cards: DataFrame) -> DataFrame:
+    """The documents of buckets as rows: what all stages read; ``buckets`` is their form as files."""
+    return cards.select("bucket_key", "doc_id")
+
+
 def bucket_sizes(cards: DataFrame) -> DataFrame:
     """Sizes without the lists: what statistics need."""
     return cards.groupBy("bucket_key").agg(F.count(F.lit(1)).alias("doc_count"))

@@ -7,10 +7,11 @@ task holds the clusters of one bucket and not its documents; assignments leave i
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import nonempty
@@ -25,11 +26,17 @@ EVENTS = (
 Decider = Callable[[dict, list[dict]], str]
 
 
-def members_in_order(buckets: DataFrame, cards: DataFrame, min_size: int = 1) -> DataFrame:
-    """Cards of buckets that are large enough, with their position and the bucket's size; unknown ids drop out."""
-    large = buckets.filter(F.size("doc_ids") >= min_size)
-    placed = large.select("bucket_key", F.size("doc_ids").cast("long").alias("bucket_size"), F.posexplode("doc_ids").alias("position", "doc_id"))
-    return placed.join(cards.drop("bucket_key"), "doc_id").withColumn("position", F.col("position").cast("long"))
+def members_in_order(members: DataFrame, cards: DataFrame, min_size: int = 1, first: int | None = None) -> DataFrame:
+    """Cards of buckets that are large enough, with their position and the bucket's size; unknown ids drop out.
+
+    members: bucket_key, doc_id, a row each; no bucket is ever one value. ``first``: the first so many buckets in order of key.
+    """
+    sizes = members.groupBy("bucket_key").agg(F.count(F.lit(1)).alias("bucket_size")).filter(F.col("bucket_size") >= min_size)
+    if first is not None:
+        sizes = sizes.orderBy("bucket_key").limit(first)
+    place = F.row_number().over(Window.partitionBy("bucket_key").orderBy("doc_id")).cast("long") - 1
+    placed = members.select("bucket_key", "doc_id", place.alias("position")).join(sizes, "bucket_key")
+    return placed.join(cards.drop("bucket_key"), "doc_id")
 
 
 def rule_decider(card: dict, clusters: list[dict]) -> str:
@@ -61,24 +68,41 @@ def step(card: dict, clusters: list[dict], answer: str, bucket_size: int) -> tup
         clusters.append({"cluster_name": name, "cluster_description": description, "member_count": 1, "tags": card["tags"], "trigger_phrases": list(phrases), "typical_outputs": list(outputs), "singleton": singleton})
         return len(clusters) - 1
 
-    try:
+    try:  # all of the answer is read before any cluster is touched
         d = json.loads(_unfenced(answer))
         new = d.get("decision") == "new_cluster"
         name = d.get("cluster_name", f"cluster-{len(clusters) + 1}" if new else "")
-        if not new:
-            at = next((i for i, c in enumerate(clusters) if c["cluster_name"] == name), None)
-            if at is not None:
-                c, more = clusters[at], d.get("updated_signature", {})
-                c["member_count"] += 1
-                c["singleton"] = False
-                for field in ("trigger_phrases", "typical_outputs"):
-                    known = set(c[field])  # as it stood before: repeats within one answer are all taken
-                    c[field] += [x for x in more.get(field) or [] if x and x not in known]
-                return at, "assign", float(d.get("confidence", 0))
-            return opened(d.get("cluster_name", f"cluster-{len(clusters) + 1}"), d.get("cluster_description", ""), card["keywords"], card["artifacts"], False), None, None
-        return opened(name, d.get("cluster_description", ""), card["keywords"], card["artifacts"], bucket_size == 1), "new_cluster", float(d.get("confidence", 0))
+        confidence, description = _number(d.get("confidence", 0)), _text(d.get("cluster_description", ""))
+        at = None if new else next((i for i, c in enumerate(clusters) if c["cluster_name"] == name), None)
+        more = d.get("updated_signature") or {}
+        added = {} if at is None else {f: [x for x in more.get(f) or [] if x and isinstance(x, str)] for f in ("trigger_phrases", "typical_outputs")}
+        name = _text(d.get("cluster_name", f"cluster-{len(clusters) + 1}"))
     except Exception:  # noqa: BLE001  any malformed answer
         return opened(f"singleton-{card['doc_id'][:20]}", "Auto-created singleton cluster", [], [], True), None, None
+    if new:
+        return opened(name, description, card["keywords"], card["artifacts"], bucket_size == 1), "new_cluster", confidence
+    if at is None:
+        return opened(name, description, card["keywords"], card["artifacts"], False), None, None
+    c = clusters[at]
+    c["member_count"] += 1
+    c["singleton"] = False
+    for field, given in added.items():
+        known = set(c[field])  # as it stood before: repeats within one answer are all taken
+        c[field] += [x for x in given if x not in known]
+    return at, "assign", confidence
+
+
+def _number(value: object) -> float | None:
+    """A confidence of any kind is accepted; null in the log if it isn't a number."""
+    try:
+        out = float(value)  # type: ignore[arg-type]
+    except (TypeError, ValueError):
+        return None
+    return out if math.isfinite(out) else None
+
+
+def _text(value: object) -> str:
+    return value if isinstance(value, str) else "" if value is None else json.dumps(value, ensure_ascii=False)
 
 
 def fold(members: DataFrame, decider: Decider = rule_decider, answer: str | None = None) -> DataFrame:
@@ -134,6 +158,15 @@ def clusters(events: DataFrame) -> DataFrame:
     return rows.join(ids, ["bucket_key", "cluster_ord"])
 
 
+def summary(events: DataFrame) -> DataFrame:
+    """One row: buckets, documents, clusters, decisions carried out of each kind, and documents put by without one."""
+    member, cluster = F.col("event") == "member", F.col("event") == "cluster"
+    return events.agg(
+        F.count_distinct("bucket_key").alias("buckets"), F.count_if(member).alias("documents"), F.count_if(cluster).alias("clusters"), F.count_if(cluster & F.col("singleton")).alias("singletons"),
+        F.count_if(member & (F.col("decision") == "assign")).alias("assigned"), F.count_if(member & (F.col("decision") == "new_cluster")).alias("opened"), F.count_if(member & F.col("decision").isNull()).alias("fallbacks"),
+    )
+
+
 def run_totals(clusters: DataFrame) -> DataFrame:
     """Buckets by number of clusters, most first."""
     return clusters.groupBy("bucket_key").agg(F.count(F.lit(1)).alias("n_clusters"), F.sum("member_count").alias("n_docs"), F.count_if("singleton").alias("n_singletons"))

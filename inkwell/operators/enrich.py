@@ -70,12 +70,15 @@ def in_vocabulary(found: Column, terms: tuple[str, ...], old: Column) -> Column:
     return F.when(F.size(kept) > 0, kept).otherwise(old)
 
 
-def enrich(cards: DataFrame, answer: Column, vocabulary: tuple[tuple[str, ...], tuple[str, ...]] = (DOMAINS, PATTERNS)) -> DataFrame:
+def enrich(cards: DataFrame, answer: Column, vocabulary: tuple[tuple[str, ...], tuple[str, ...]] = (DOMAINS, PATTERNS), only: Column | None = None) -> DataFrame:
     """All cards, those in need with tags from the answer (a Column of text); one pass, no join.
 
     ``_enrichment`` is null where a card wasn't touched; a malformed answer leaves it as it was, with an error.
+    ``only``: which of the cards in need are asked about at all.
     """
     needed = needs_enrichment(F.col("tags.domains"), F.col("tags.patterns"))
+    if only is not None:
+        needed = needed & only
     c = cards.withColumn("_answer", F.when(needed, parse(inside_fence(answer), ENRICHMENT))).withColumn("_needed", needed)
     ok = F.col("_answer").isNotNull()
     old = F.col("bucket_key")
@@ -102,6 +105,14 @@ def merge_back(cards: DataFrame, enriched: DataFrame) -> DataFrame:
     return joined.select("doc_id", *[F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in shared else F.col(c) for c in cards.columns if c != "doc_id"])
 
 
+def summary(enriched: DataFrame) -> DataFrame:
+    """One row: cards, those in need of tags, those enriched, those that failed, and those that changed their bucket."""
+    done = F.coalesce(F.col("_enrichment.enriched"), F.lit(False))
+    needed = F.col("_enrichment").isNotNull()
+    moved = done & (F.col("_enrichment.original_bucket_key") != F.col("bucket_key"))
+    return enriched.agg(F.count(F.lit(1)).alias("cards"), F.count_if(needed).alias("needed"), F.count_if(done).alias("enriched"), F.count_if(needed & ~done).alias("failed"), F.count_if(moved).alias("moved"))
+
+
 def bucket_changes(enriched: DataFrame) -> DataFrame:
     moved = enriched.filter(F.col("_enrichment.enriched") & (F.col("_enrichment.original_bucket_key") != F.col("bucket_key")))
     return moved.select("doc_id", F.col("_enrichment.original_bucket_key").alias("old_bucket"), F.col("bucket_key").alias("new_bucket"))

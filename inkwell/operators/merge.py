@@ -31,14 +31,14 @@ def domain_rollup(domains: Column, rollups: dict[str, tuple[str, ...]] = ROLLUPS
     return F.coalesce(*[F.when(hit(members), name) for name, members in rollups.items()], F.lit(OTHER))
 
 
-def signatures(clusters: DataFrame, by_name: bool = False) -> DataFrame:
+def signatures(clusters: DataFrame, by_name: bool = False, rollups: dict[str, tuple[str, ...]] = ROLLUPS) -> DataFrame:
     """Clusters as merging sees them. ``by_name`` keeps, of clusters of one name, the last only (in order of bucket)."""
     s = clusters.select(
         "bucket_key", "cluster_ord", "cluster_name", F.substring(F.coalesce("cluster_description", F.lit("")), 1, 200).alias("description"),
         nonempty(F.col("top_tags.domains")).alias("domains"), nonempty(F.col("top_tags.patterns")).alias("patterns"), nonempty(F.col("top_tags.frameworks")).alias("frameworks"),
         F.slice(nonempty(F.col("trigger_phrases")), 1, 10).alias("trigger_phrases"), F.slice(nonempty(F.col("typical_outputs")), 1, 10).alias("typical_outputs"),
         "member_doc_ids", F.size("member_doc_ids").cast("long").alias("member_count"),
-    ).withColumn("domain_rollup", domain_rollup(F.col("domains")))
+    ).withColumn("domain_rollup", domain_rollup(F.col("domains"), rollups))
     if by_name:
         w = Window.partitionBy("cluster_name").orderBy(F.desc("bucket_key"), F.desc("cluster_ord"))
         s = s.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
@@ -50,18 +50,33 @@ def lost_by_name(clusters: DataFrame) -> DataFrame:
     return clusters.groupBy("cluster_name").agg(F.count(F.lit(1)).alias("n"), F.sum("member_count").alias("n_docs")).filter("n > 1")
 
 
-def _sorted_union(column: str) -> Column:
-    return F.array_sort(F.array_distinct(F.flatten(F.collect_list(column))))
+def _united(rows: DataFrame, keys: list[str], columns: dict[str, int | None]) -> DataFrame:
+    """keys, and of each array column the distinct items in order, the first so many only.
+
+    Items are distinct rows before any are gathered, and of those beyond the first few leave a task; one pass for all columns.
+    """
+    def told(c: str) -> Column:
+        return F.transform(nonempty(F.col(c)), lambda x: F.struct(F.lit(c).alias("kind"), x.alias("item")))
+
+    items = rows.select(*keys, F.explode(F.concat(*map(told, columns))).alias("t")).select(*keys, "t.kind", "t.item").distinct()
+    limits = {c: n for c, n in columns.items() if n is not None}
+    if limits:
+        place = F.row_number().over(Window.partitionBy(*keys, "kind").orderBy("item"))
+        ranked = items.filter(F.col("kind").isin(*limits)).withColumn("_n", place).filter(F.col("_n") <= max(limits.values()))
+        wanted = F.coalesce(*[F.when(F.col("kind") == c, F.col("_n") <= n) for c, n in limits.items()])
+        items = items.filter(~F.col("kind").isin(*limits)).union(ranked.filter(wanted).drop("_n"))
+    return items.groupBy(*keys).agg(*[F.array_sort(F.collect_list(F.when(F.col("kind") == c, F.col("item")))).alias(c) for c in columns])
 
 
 def rollup_groups(sigs: DataFrame) -> DataFrame:
     """One row per rollup, most documents first. Tags are united as distinct rows before they are gathered."""
-    base = sigs.groupBy("domain_rollup").agg(
+    keys = ["domain_rollup"]
+    base = sigs.groupBy(*keys).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("bucket_key", "cluster_ord", "cluster_name"))), lambda c: c["cluster_name"]).alias("cluster_names"),
         F.count(F.lit(1)).alias("member_count"), F.sum("member_count").alias("total_docs"),
-        _sorted_union("domains").alias("domains"), _sorted_union("patterns").alias("patterns"),
-        F.slice(_sorted_union("trigger_phrases"), 1, 20).alias("trigger_phrases"), F.slice(_sorted_union("typical_outputs"), 1, 20).alias("typical_outputs"),
     )
+    columns = {"domains": None, "patterns": None, "trigger_phrases": 20, "typical_outputs": 20}
+    base = base.join(_united(sigs, keys, columns), keys, "left").withColumns({c: nonempty(F.col(c)) for c in columns})
     return base.withColumnRenamed("domain_rollup", "rollup").orderBy(F.desc("total_docs"), F.desc("member_count"), "rollup")
 
 
@@ -91,20 +106,37 @@ def skills(groups: DataFrame, answers: DataFrame) -> DataFrame:
     )
 
 
-def final_clusters(wanted: DataFrame, sigs: DataFrame) -> DataFrame:
-    """One row per skill: distinct sorted members, united tags, sorted triggers beyond those given."""
+def skill_parts(wanted: DataFrame, sigs: DataFrame) -> DataFrame:
+    """rollup, skill_ord with a row for each cluster that a skill names: of its own rollup, or else of any other."""
     keys = ["rollup", "skill_ord"]
     named = wanted.select(*keys, F.explode(F.array_distinct("cluster_names")).alias("cluster_name"))
-    parts = named.join(sigs.withColumnRenamed("domain_rollup", "rollup"), ["rollup", "cluster_name"])
-    gathered = parts.groupBy(*keys).agg(
-        _sorted_union("member_doc_ids").alias("member_doc_ids"),
-        F.struct(_sorted_union("domains").alias("domains"), _sorted_union("patterns").alias("patterns"), _sorted_union("frameworks").alias("frameworks")).alias("top_tags"),
-        F.slice(_sorted_union("trigger_phrases"), 1, 10).alias("more"), F.slice(_sorted_union("typical_outputs"), 1, 15).alias("typical_outputs"), F.array_sort(F.collect_set("bucket_key")).alias("source_buckets"),
-    )
-    f = wanted.join(gathered, keys, "left")
+    where = named.join(sigs.select("cluster_name", "domain_rollup").distinct(), "cluster_name")
+    own = F.col("domain_rollup") == F.col("rollup")
+    where = where.withColumn("_own", F.max(own.cast("int")).over(Window.partitionBy(*keys, "cluster_name"))).filter(own | (F.col("_own") == 0)).drop("_own")
+    return where.join(sigs, ["cluster_name", "domain_rollup"]).drop("domain_rollup")
+
+
+def skill_members(wanted: DataFrame, sigs: DataFrame) -> DataFrame:
+    """rollup, skill_ord, doc_id: the distinct members of each skill as rows."""
+    return skill_parts(wanted, sigs).select("rollup", "skill_ord", F.explode("member_doc_ids").alias("doc_id")).distinct()
+
+
+def final_clusters(wanted: DataFrame, sigs: DataFrame) -> DataFrame:
+    """One row per skill: distinct sorted members, united tags, sorted triggers beyond those given.
+
+    ``cluster_id`` names it by rollup and place, as two skills of different rollups may share a name.
+    """
+    keys = ["rollup", "skill_ord"]
+    parts = skill_parts(wanted, sigs)
+    columns = {"domains": None, "patterns": None, "frameworks": None, "trigger_phrases": 10, "typical_outputs": 15, "source_buckets": None}
+    f = wanted.join(_united(parts.withColumn("source_buckets", F.array("bucket_key")), keys, columns), keys, "left")
+    f = f.join(skill_members(wanted, sigs).groupBy(*keys).agg(F.array_sort(F.collect_list("doc_id")).alias("member_doc_ids")), keys, "left")
+    f = f.withColumn("member_doc_ids", nonempty(F.col("member_doc_ids")))
+    tags = F.struct(*[nonempty(F.col(c)).alias(c) for c in ("domains", "patterns", "frameworks")])
     return f.select(
-        F.col("skill_name").alias("cluster_name"), F.col("skill_description").alias("cluster_description"), nonempty(F.col("member_doc_ids")).alias("member_doc_ids"), F.size(nonempty(F.col("member_doc_ids"))).cast("long").alias("member_count"), "top_tags",
-        F.concat("activation_triggers", nonempty(F.col("more"))).alias("trigger_phrases"), nonempty(F.col("typical_outputs")).alias("typical_outputs"), F.col("cluster_names").alias("source_clusters"), "source_buckets", F.col("rollup").alias("domain_rollup"), F.lit(True).alias("is_merged"), "skill_ord",
+        F.concat_ws("/", "rollup", F.col("skill_ord").cast("string")).alias("cluster_id"),
+        F.col("skill_name").alias("cluster_name"), F.col("skill_description").alias("cluster_description"), "member_doc_ids", F.size("member_doc_ids").cast("long").alias("member_count"), tags.alias("top_tags"),
+        F.concat("activation_triggers", nonempty(F.col("trigger_phrases"))).alias("trigger_phrases"), nonempty(F.col("typical_outputs")).alias("typical_outputs"), F.col("cluster_names").alias("source_clusters"), F.col("source_buckets"), F.col("rollup").alias("domain_rollup"), F.lit(True).alias("is_merged"), "skill_ord",
     )
 
 

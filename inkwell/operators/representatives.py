@@ -28,16 +28,35 @@ def scores(members: DataFrame, cards: DataFrame, extractions: DataFrame) -> Data
     return m.withColumn("total_score", F.col("priority_score") + F.col("reusability_score") + F.when(F.col("has_issues"), 15).otherwise(0) + F.when(F.col("has_code"), 15).otherwise(0) + F.when(F.col("has_artifacts"), 10).otherwise(0))
 
 
-def select(scored: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+#: No cluster has more representatives.
+MOST = 8
+
+
+def candidates(scored: DataFrame) -> DataFrame:
+    """The rows among which the choice is made: of each cluster the best MOST, and the first with each flag; with cluster_size.
+
+    Both are found within tasks before rows are dealt by cluster, so that no task sorts a large cluster.
+    """
+    by = Window.partitionBy("cluster_id").orderBy(F.desc("total_score"), "position")
+    best = scored.withColumn("_rn", F.row_number().over(by)).filter(F.col("_rn") <= MOST).drop("_rn")
+    row = F.struct((-F.col("total_score")).alias("k"), "position", F.struct(*scored.columns).alias("row"))
+    sums = scored.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("cluster_size"), *[F.min(F.when(F.col(f"has_{f}"), row)).alias(f"_{f}") for f in FLAGS])
+    first = sums.select(F.explode(F.array(*[F.col(f"_{f}.row") for f in FLAGS])).alias("row")).filter("row is not null").select("row.*")
+    places = sums.select("cluster_id", "cluster_size", *[F.col(f"_{f}.position").alias(f"_{f}") for f in FLAGS])
+    return best.union(first).dropDuplicates(["cluster_id", "position"]).join(places, "cluster_id")
+
+
+def select(scored: DataFrame) -> DataFrame:
     """The chosen documents: cluster_id, doc_id, sel_rank, why_selected, and their scores.
 
     Greedy choice has a closed form: the first half of the places go by score; the first document with each flag is a
     candidate too; what is left goes by score. Documents of a cluster must differ.
     """
     by = Window.partitionBy("cluster_id")
-    ranked = scored.withColumn("rn", F.row_number().over(by.orderBy(F.desc("total_score"), "position"))).withColumn("cluster_size", F.count(F.lit(1)).over(by)).withColumn("target_count", rep_count(F.col("cluster_size")))
+    ranked = candidates(scored).withColumn("rn", F.row_number().over(by.orderBy(F.desc("total_score"), "position"))).withColumn("target_count", rep_count(F.col("cluster_size")))
     for f in FLAGS:
-        ranked = ranked.withColumn(f"first_{f}", F.col(f"has_{f}") & (F.col("rn") == F.min(F.when(F.col(f"has_{f}"), F.col("rn"))).over(by)))
+        ranked = ranked.withColumn(f"first_{f}", F.coalesce(F.col(f"_{f}") == F.col("position"), F.lit(False)))
+    ranked = ranked.drop(*[f"_{f}" for f in FLAGS])
     ahead = (F.col("rn") <= F.floor(F.col("target_count") / 2)) | F.col("first_issues") | F.col("first_code") | F.col("first_artifacts")
     chosen = ranked.withColumn("_ahead", ahead.cast("int")).withColumn("sel_rank", F.row_number().over(by.orderBy(F.desc("_ahead"), "rn"))).filter(F.col("sel_rank") <= F.col("target_count"))
     covers = F.concat_ws(", ", *[F.when(F.col(f"first_{f}"), f"{f} coverage") for f in FLAGS])
@@ -64,6 +83,11 @@ def all_doc_ids(extractions: DataFrame, stems: DataFrame) -> DataFrame:
     return extractions.select("doc_id").union(stems.select("doc_id")).distinct()
 
 
+def summary(reps: DataFrame) -> DataFrame:
+    """One row: clusters, representatives, and clusters by status."""
+    return reps.agg(F.count(F.lit(1)).alias("clusters"), F.coalesce(F.sum("actual_count"), F.lit(0)).cast("long").alias("representatives"), F.count_if(F.col("status") == "OK").alias("ok"), F.count_if(F.col("status") != "OK").alias("partial"))
+
+
 def missing_reps(clusters: DataFrame, reps: DataFrame) -> DataFrame:
     return clusters.select("cluster_id").join(reps.select("cluster_id"), "cluster_id", "left_anti")
 

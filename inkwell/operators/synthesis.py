@@ -12,11 +12,11 @@ PAYLOAD_CAP = 50_000
 
 
 def inputs(final: DataFrame, reps: DataFrame, extractions: DataFrame) -> DataFrame:
-    """cluster_name with its extractions in order of rank; ``state``: ready, skipped (no extraction) or failed (no representatives)."""
-    placed = reps.select(F.col("cluster_id").alias("cluster_name"), F.posexplode("representative_doc_ids").alias("place", "doc_id"))
+    """Final clusters (by cluster_id) with their extractions in order of rank; ``state``: ready, skipped (no extraction) or failed (no representatives)."""
+    placed = reps.select("cluster_id", F.posexplode("representative_doc_ids").alias("place", "doc_id"))
     found = placed.join(extractions, "doc_id")
-    gathered = found.groupBy("cluster_name").agg(F.array_sort(F.collect_list(F.struct("place", "doc_id", "payload"))).alias("parts"))
-    joined = final.join(reps.select(F.col("cluster_id").alias("cluster_name"), F.lit(True).alias("_reps")), "cluster_name", "left").join(gathered, "cluster_name", "left")
+    gathered = found.groupBy("cluster_id").agg(F.array_sort(F.collect_list(F.struct("place", "doc_id", "payload"))).alias("parts"))
+    joined = final.join(reps.select("cluster_id", F.lit(True).alias("_reps")), "cluster_id", "left").join(gathered, "cluster_id", "left")
     state = F.when(F.col("_reps").isNull(), "failed").when(F.col("parts").isNull(), "skipped").otherwise("ready")
     return joined.withColumn("state", state).drop("_reps")
 
@@ -61,7 +61,8 @@ def packages(ready: DataFrame, answer: Column) -> DataFrame:
 
     main = F.array(file(F.lit("SKILL.md"), F.coalesce("_a.skill_md", F.lit(""))), file(F.lit("traceability.json"), F.coalesce(F.to_json("_a.traceability"), F.lit("{}"))))
     state = F.when(F.col("state") != "ready", F.col("state")).when(F.col("_a").isNull(), "failed").otherwise("processed")
-    return a.select("cluster_name", state.alias("state"), F.coalesce("_a.skill_name", F.when(F.col("_a").isNotNull(), F.lit("unknown-skill"))).alias("skill_name"), F.when(F.col("_a").isNotNull(), F.concat(main.cast(kind), *[listed(n).cast(kind) for n in ("references", "scripts", "assets")])).otherwise(F.array().cast(kind)).alias("files"))
+    keys = [c for c in ("cluster_id", "cluster_name") if c in ready.columns]
+    return a.select(*keys, state.alias("state"), F.coalesce("_a.skill_name", F.when(F.col("_a").isNotNull(), F.lit("unknown-skill"))).alias("skill_name"), F.when(F.col("_a").isNotNull(), F.concat(main.cast(kind), *[listed(n).cast(kind) for n in ("references", "scripts", "assets")])).otherwise(F.array().cast(kind)).alias("files"))
 
 
 def summary(done: DataFrame) -> DataFrame:

@@ -29,8 +29,11 @@ class Config:
     patterns: tuple[str, ...] = PATTERNS
     rollups: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(ROLLUPS))
     min_bucket_size: int = 1
+    first_buckets: int | None = None
     max_cards: int | None = None
+    key_by_name: bool = False
     audit_min_size: int = 10
+    audit_of: str | None = None
     skip_synthesis: bool = False
     dry_run: bool = False
     max_packages: int | None = None

@@ -126,6 +126,23 @@ clusters AS (
   FROM cl LEFT JOIN ph ON cl.conv_id = ph.conv_id AND cl.role = ph.role)"""
 
 
+_SIGNATURE = "'Name: ' || b.bucket_key || '-1' || chr(10) || 'About: About ' || b.bucket_key || chr(10) || 'Domains: ' || coalesce(c.domain, '') || chr(10) || 'Patterns: ' || c.source || chr(10) || 'Triggers: ' || langs || chr(10) || 'Outputs: ' || coalesce(output, '') || chr(10) || 'Documents: ' || n_docs"
+_SUMMARY = "'Document: ' || doc_id || chr(10) || 'Trigger: export ' || b.source || chr(10) || 'Keywords: ' || lang || chr(10) || 'Domains: ' || coalesce(b.domain, '') || chr(10) || 'Patterns: ' || b.source || chr(10) || 'Steps: ' || chr(10) || 'Artifacts: ' || CASE WHEN artifact THEN b.source || '.csv' ELSE '' END"
+_SAMPLE = """
+x AS (SELECT b.*, z.doc_count, least(12, greatest(8, z.doc_count // 4)) AS want, CASE WHEN quality = 1 THEN 'a_priority' WHEN issue THEN 'b_issues' WHEN artifact THEN 'c_artifacts' ELSE 'd_other' END AS stratum FROM b JOIN sizes z ON b.bucket_key = z.bucket_key WHERE z.doc_count >= 10),
+y AS (SELECT *, row_number() OVER (PARTITION BY bucket_key, stratum ORDER BY doc_id) AS pos FROM x),
+f AS (SELECT *, (stratum = 'a_priority' AND pos <= 3) OR (stratum = 'b_issues' AND pos <= 2) OR (stratum = 'c_artifacts' AND pos <= 2) AS taken FROM y),
+q AS (SELECT *, count(*) FILTER (WHERE taken) OVER (PARTITION BY bucket_key) AS n_taken, row_number() OVER (PARTITION BY bucket_key, taken ORDER BY md5(doc_id || 'audit'), doc_id) AS drawn FROM f)"""
+_FILES = """
+said AS (
+  SELECT r.cluster_name, replace(r.documents, '|', chr(10)) AS listed, r.documents, t.langs, length('Documents about ' || t.rollup) AS n_about, t.rollup
+  FROM ready r JOIN (SELECT s.rollup, s.rollup || '-skill' AS cluster_name, string_agg(DISTINCT b.lang, '|' ORDER BY b.lang) AS langs FROM s JOIN b ON s.bucket_key = b.bucket_key GROUP BY s.rollup) t ON r.cluster_name = t.cluster_name WHERE state = 'ready'),
+files AS (
+  SELECT cluster_name, 'SKILL.md' AS path, length('# ' || cluster_name || chr(10) || chr(10) || 'Documents about ' || rollup || chr(10) || chr(10) || '## When' || chr(10) || '- ' || replace(langs || '|' || langs, '|', chr(10) || '- ') || chr(10) || chr(10) || '## Sources' || chr(10) || '- ' || replace(documents, '|', chr(10) || '- ')) AS n_chars FROM said
+  UNION ALL SELECT cluster_name, 'references/sources.md', length(listed) FROM said
+  UNION ALL SELECT cluster_name, 'traceability.json', length('{"source_doc_ids":["' || replace(documents, '|', '","') || '"],"section_sources":{"Sources":["' || replace(documents, '|', '","') || '"]}}') FROM said)"""
+
+
 def _with(cte: str, body: str, more: str = "") -> str:
     return f"WITH {cte.strip()}{',' + more if more else ''}\n{body}"
 
@@ -183,11 +200,7 @@ ORACLE_SQL: dict[str, str] = {
     "stratified_sample": _with(
         _CARDS,
         "SELECT bucket_key || '-1' AS cluster_name, doc_id, stratum FROM q WHERE doc_count <= want OR taken OR drawn <= want - n_taken",
-        """
-x AS (SELECT b.*, z.doc_count, least(12, greatest(8, z.doc_count // 4)) AS want, CASE WHEN quality = 1 THEN 'a_priority' WHEN issue THEN 'b_issues' WHEN artifact THEN 'c_artifacts' ELSE 'd_other' END AS stratum FROM b JOIN sizes z ON b.bucket_key = z.bucket_key WHERE z.doc_count >= 10),
-y AS (SELECT *, row_number() OVER (PARTITION BY bucket_key, stratum ORDER BY doc_id) AS pos FROM x),
-f AS (SELECT *, (stratum = 'a_priority' AND pos <= 3) OR (stratum = 'b_issues' AND pos <= 2) OR (stratum = 'c_artifacts' AND pos <= 2) AS taken FROM y),
-q AS (SELECT *, count(*) FILTER (WHERE taken) OVER (PARTITION BY bucket_key) AS n_taken, row_number() OVER (PARTITION BY bucket_key, taken ORDER BY md5(doc_id || 'audit'), doc_id) AS drawn FROM f)""",
+        _SAMPLE,
     ),
     "audit_results": _with(_SIG, "SELECT bucket_key || '-1' AS cluster_name, n_docs % 3 <> 1 AS is_pure, CASE WHEN n_docs % 3 = 1 THEN 'split' ELSE 'keep_as_is' END AS recommendation, CASE n_docs % 3 WHEN 0 THEN 0.0 WHEN 1 THEN 0.75 ELSE 0.5 END::DOUBLE AS confidence FROM c"),
     "rep_count": _with(_SIG, f"SELECT bucket_key || '-1' AS cluster_name, n_docs AS member_count, {_RCOUNT.format('n_docs')} AS target FROM c"),
@@ -208,6 +221,26 @@ q AS (
     + (SELECT count(DISTINCT cluster_id) FROM reps WHERE doc_id = 'doc99999999') AS issues, (SELECT count(*) FROM cover WHERE NOT (i OR c OR a)) AS warnings)""",
     ),
     "synthesis_input": _with(_SKILL, "SELECT cluster_name, state, documents FROM ready"),
+    "enrichment_prompt": _with(_CARDS, "SELECT doc_id, md5('Choose one to three domains and one to three patterns for this card, from the lists only. Answer with JSON: domains, patterns, confidence, reasoning.' || chr(10) || 'Domains: x, y' || chr(10) || 'Patterns: z') AS lists_md5, doc_id AS card_id FROM b WHERE domain IS NULL"),
+    "enrichment_summary": _with(_ENRICHED, "SELECT count(*) AS cards, count(*) FILTER (WHERE needed) AS needed, count(*) FILTER (WHERE ok) AS enriched, count(*) FILTER (WHERE needed AND NOT ok) AS failed, count(*) FILTER (WHERE ok AND bucket_key <> key2) AS moved FROM m"),
+    "bucket_first": _with(_CARDS, "SELECT b.bucket_key, doc_count AS bucket_size, row_number() OVER (PARTITION BY b.bucket_key ORDER BY doc_id) - 1 AS position, doc_id FROM b JOIN (SELECT * FROM sizes WHERE doc_count >= 2 ORDER BY bucket_key LIMIT 3) z ON b.bucket_key = z.bucket_key"),
+    "fold_odd_answers": _with(_CONV, "SELECT bucket_key, cluster_name, member_count, member_count AS n_members FROM clusters"),
+    "log_odd_answers": _with(_CONV, "SELECT 'conv' || conv_id AS bucket_key, 't' || turn AS doc_id, CASE WHEN turn = opened THEN 'new_cluster' ELSE 'assign' END AS decision, role AS cluster_name, CASE turn % 3 WHEN 0 THEN NULL WHEN 1 THEN 0.25::DOUBLE ELSE NULL END AS confidence FROM t"),
+    "fold_summary": _with(_CONV, "SELECT (SELECT count(DISTINCT conv_id) FROM t) AS buckets, (SELECT count(*) FROM t) AS documents, (SELECT count(*) FROM clusters) AS clusters, (SELECT count(*) FROM clusters WHERE singleton) AS singletons, (SELECT count(*) FROM t WHERE turn > opened) AS assigned, (SELECT count(*) FROM t WHERE turn = opened) AS opened, 0 AS fallbacks"),
+    "assignment_prompt": _with(_SIG, f"SELECT doc_id, md5(CASE WHEN code THEN 'Assign the document to a cluster or open a new one. Answer with JSON.' || chr(10) || chr(10) || 'Clusters:' || chr(10) || {_SIGNATURE} || chr(10) || chr(10) || {_SUMMARY} ELSE 'This is the first document: open a cluster for it.' || chr(10) || chr(10) || {_SUMMARY} END) AS prompt_md5 FROM b JOIN c ON b.bucket_key = c.bucket_key"),
+    "rollup_prompt": _with(_SIG, "SELECT rollup, 'Domains: ' || coalesce(string_agg(DISTINCT domain, ', ' ORDER BY domain), '') AS domains, 'Rollup: ' || rollup AS head, 6 AS n_lines FROM s GROUP BY rollup"),
+    "skills_across_rollups": _with(_SIG, "SELECT g.rollup || '/0' AS cluster_id, 'same' AS cluster_name, (SELECT count(*) FROM b) AS member_count, (SELECT md5(string_agg(doc_id, '|' ORDER BY doc_id)) FROM b) AS members_md5 FROM (SELECT DISTINCT rollup FROM s) g"),
+    "audit_splits": _with(_SIG, "SELECT bucket_key || '-1' AS cluster_name, 2 AS n_parts, 0.75::DOUBLE AS confidence FROM c WHERE n_docs >= 10 AND n_docs % 2 = 0"),
+    "audit_kept": _with(_SIG, "SELECT bucket_key || '-1' AS cluster_name FROM c WHERE n_docs >= 10 AND n_docs % 2 = 1"),
+    "audit_summary": _with(_SIG, "SELECT count(*) AS audited, count(*) FILTER (WHERE n_docs % 2 = 0) AS splits, count(*) FILTER (WHERE n_docs % 2 = 1) AS kept FROM c WHERE n_docs >= 10"),
+    "audit_card_text": _with(_CARDS, "SELECT doc_id, md5('Document: ' || doc_id || chr(10) || 'Trigger: export ' || source || chr(10) || 'Keywords: ' || lang || chr(10) || 'Domains: ' || coalesce(domain, '') || chr(10) || 'Patterns: ' || source || chr(10) || 'Steps: ' || chr(10) || 'Artifacts: ' || CASE WHEN artifact THEN source || '.csv' ELSE '' END || chr(10) || 'Issues: ' || CASE WHEN issue THEN 'offending text' ELSE '' END) AS text_md5 FROM b"),
+    "audit_prompt": _with(_CARDS, "SELECT cluster_name, count(*) AS n_cards, min_by(doc_id, place) AS first_doc FROM chosen GROUP BY 1", _SAMPLE + """,
+chosen AS (
+  SELECT bucket_key || '-1' AS cluster_name, doc_id, row_number() OVER (PARTITION BY bucket_key ORDER BY taken DESC, CASE WHEN taken THEN stratum END, CASE WHEN taken THEN doc_id END, md5(doc_id || 'audit'), doc_id) AS place
+  FROM q WHERE doc_count <= want OR taken OR drawn <= want - n_taken)"""),
+    "rep_summary": _with(f"{_SCORED},{_chosen('scored')}", "SELECT count(DISTINCT cluster_id) AS clusters, count(*) AS representatives, (SELECT count(*) FROM (SELECT 1 FROM chosen GROUP BY cluster_id HAVING bool_or(fi) AND bool_or(fc) AND bool_or(fa)) x) AS ok, (SELECT count(*) FROM (SELECT 1 FROM chosen GROUP BY cluster_id HAVING NOT (bool_or(fi) AND bool_or(fc) AND bool_or(fa))) x) AS partial FROM chosen"),
+    "synthesis_prompt": _with(_SKILL, "SELECT r.cluster_name, 'Domains: ' || coalesce(d.domains, '') AS domains, '[{\"doc_id\":\"' || replace(r.documents, '|', '\"}, {\"doc_id\":\"') || '\"}]' AS documents FROM ready r JOIN (SELECT rollup || '-skill' AS cluster_name, string_agg(DISTINCT domain, ', ' ORDER BY domain) AS domains FROM s GROUP BY 1) d ON r.cluster_name = d.cluster_name WHERE state = 'ready'"),
+    "skill_files": _with(_SKILL, "SELECT cluster_name, 'processed' AS state, path, n_chars::BIGINT AS n_chars FROM files", _FILES),
     "synthesis_summary": _with(_SKILL, "SELECT count(*) FILTER (WHERE state = 'ready') AS processed, count(*) FILTER (WHERE state = 'failed') AS failed, count(*) FILTER (WHERE state = 'skipped') AS skipped FROM ready"),
     "manifest_changes": _with(_O, "SELECT o_orderkey FROM o WHERE o_orderkey % 10 = 0 OR o_orderkey % 7 = 0"),
 }

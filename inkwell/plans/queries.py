@@ -251,6 +251,23 @@ def bucket_changes(spark, sf):
     return T.bucket_changes(_enriched(spark, sf))
 
 
+@query
+def enrichment_prompt(spark, sf):
+    said = T.prompt((("x", "y"), ("z",)))
+    return T.candidates(ad.document_cards(spark, sf)).select("doc_id", F.md5(F.regexp_extract(said, r"(?s)^(.*)\nCard: ", 1)).alias("lists_md5"), F.get_json_object(F.regexp_extract(said, r"(?s)\nCard: (.*)$", 1), "$.doc_id").alias("card_id"))
+
+
+@query
+def enrichment_summary(spark, sf):
+    return T.summary(_enriched(spark, sf))
+
+
+@query
+def bucket_first(spark, sf):
+    cards = ad.document_cards(spark, sf)
+    return I.members_in_order(C.bucket_members(cards), cards, 2, first=3).select("bucket_key", "bucket_size", "position", "doc_id")
+
+
 @query
 def bucket_regrouped(spark, sf):
     return C.bucket_sizes(_enriched(spark, sf))
@@ -259,7 +276,7 @@ def bucket_regrouped(spark, sf):
 @query
 def bucket_join_cards(spark, sf):
     cards = ad.document_cards(spark, sf)
-    m = I.members_in_order(C.buckets(cards), cards.filter(F.col("has_code")), 3)
+    m = I.members_in_order(C.bucket_members(cards), cards.filter(F.col("has_code")), 3)
     return m.select("bucket_key", "bucket_size", "position", "doc_id")
 
 
@@ -288,6 +305,38 @@ def assignment_log(spark, sf):
     return I.assignments(I.fold(_turns(spark, sf), answer="answer"))
 
 
+def _odd_turns(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with confidences as text, null signatures and names that nothing has."""
+    odd = F.when(F.col("position") % 3 == 0, F.lit("high")).when(F.col("position") % 3 == 1, F.lit("0.25"))
+    told = F.from_json("answer", "decision string, cluster_name string")
+    t = _turns(spark, sf)
+    return t.withColumn("answer", F.to_json(F.struct(told["decision"].alias("decision"), told["cluster_name"].alias("cluster_name"), odd.alias("confidence"), F.lit(None).cast("string").alias("updated_signature")), {"ignoreNullFields": "false"}))
+
+
+@query
+def fold_odd_answers(spark, sf):
+    return I.clusters(I.fold(_odd_turns(spark, sf), answer="answer")).select("bucket_key", "cluster_name", "member_count", F.size("member_doc_ids").cast("long").alias("n_members"))
+
+
+@query
+def log_odd_answers(spark, sf):
+    return I.assignments(I.fold(_odd_turns(spark, sf), answer="answer"))
+
+
+@query
+def fold_summary(spark, sf):
+    events = I.fold(_turns(spark, sf), answer="answer")
+    return I.summary(events)
+
+
+@query
+def assignment_prompt(spark, sf):
+    cards = ad.document_cards(spark, sf)
+    shown = _clusters(spark, sf).groupBy("bucket_key").agg(F.collect_list(I.signature()).alias("signatures"))
+    p = cards.join(shown, "bucket_key").select("doc_id", I.assignment_prompt(I.card_summary(), F.when(F.col("has_code"), F.col("signatures")).otherwise(F.array().cast("array<string>"))).alias("prompt"))
+    return p.select("doc_id", F.md5("prompt").alias("prompt_md5"))
+
+
 @query
 def fold_by_rules(spark, sf):
     c = I.clusters(I.fold(_turns(spark, sf)))
@@ -338,9 +387,10 @@ def signatures_by_name(spark, sf):
 
 
 def _final(spark: SparkSession, sf: str) -> DataFrame:
-    sigs = M.signatures(_clusters(spark, sf))
+    # in a run these are stage tables; here several plans read them
+    sigs = M.signatures(_clusters(spark, sf)).persist()
     groups = M.rollup_groups(sigs)
-    return M.final_clusters(M.skills(groups, M.rule_answers(groups)), sigs)
+    return M.final_clusters(M.skills(groups, M.rule_answers(groups)), sigs).persist()
 
 
 @query
@@ -349,6 +399,22 @@ def skill_clusters(spark, sf):
     return f.select("cluster_name", "domain_rollup", "member_count", F.md5(_joined("member_doc_ids")).alias("members_md5"), _joined("trigger_phrases").alias("triggers"), F.size("source_buckets").cast("long").alias("n_buckets"))
 
 
+@query
+def rollup_prompt(spark, sf):
+    return M.rollup_prompt(M.rollup_groups(M.signatures(_clusters(spark, sf)))).select("rollup", F.regexp_extract("prompt", "(?m)^Domains: .*$", 0).alias("domains"), F.regexp_extract("prompt", "(?m)^Rollup: .*$", 0).alias("head"), F.size(F.split("prompt", "\n")).cast("long").alias("n_lines"))
+
+
+@query
+def skills_across_rollups(spark, sf):
+    """Each rollup's one skill, named alike in all, names all clusters of all rollups and one that nothing has."""
+    sigs = M.signatures(_clusters(spark, sf))
+    groups = M.rollup_groups(sigs)
+    every = sigs.agg(F.concat(F.sort_array(F.collect_list("cluster_name")), F.array(F.lit("nothing"))).alias("names"))
+    answers = groups.select("rollup").join(F.broadcast(every)).select("rollup", F.to_json(F.struct(F.lit("split").alias("recommendation"), F.array(F.struct(F.lit("same").alias("skill_name"), F.col("names").alias("cluster_names"))).alias("skills"))).alias("answer"))
+    f = M.final_clusters(M.skills(groups, answers), sigs)
+    return f.select("cluster_id", "cluster_name", "member_count", F.md5(_joined("member_doc_ids")).alias("members_md5"))
+
+
 @query
 def merge_fallback(spark, sf):
     groups = M.rollup_groups(M.signatures(_clusters(spark, sf)))
@@ -389,6 +455,41 @@ def audit_results(spark, sf):
     return A.results(c.withColumn("answer", answer)).select("cluster_name", "is_pure", "recommendation", "confidence")
 
 
+def _audited(spark: SparkSession, sf: str) -> DataFrame:
+    c = A.candidates(_clusters(spark, sf))
+    answer = F.when(F.col("member_count") % 2 == 0, '{"is_pure": false, "recommendation": "split", "confidence": 0.75, "split_into": [{"skill_name": "a", "description": "", "doc_ids_from_sample": []}, {"skill_name": "b"}]}').otherwise("broken")
+    return A.results(c.withColumn("answer", answer))
+
+
+@query
+def audit_splits(spark, sf):
+    return A.splits(_audited(spark, sf)).select("cluster_name", F.size("split_into").cast("long").alias("n_parts"), "confidence")
+
+
+@query
+def audit_kept(spark, sf):
+    return A.kept(_audited(spark, sf))
+
+
+@query
+def audit_summary(spark, sf):
+    return A.summary(_audited(spark, sf))
+
+
+@query
+def audit_card_text(spark, sf):
+    return ad.document_cards(spark, sf).select("doc_id", F.md5(A.card_text()).alias("text_md5"))
+
+
+@query
+def audit_prompt(spark, sf):
+    cards = ad.document_cards(spark, sf)
+    placed = A.candidates(_clusters(spark, sf)).select("cluster_name", "member_count", F.posexplode("member_doc_ids").alias("position", "doc_id"))
+    m = placed.join(cards.select("doc_id", F.col("scores.extraction_priority").alias("priority"), F.size("issues").alias("n_issues"), F.size("artifacts").alias("n_artifacts"), A.card_text().alias("text")), "doc_id")
+    p = A.prompts(A.sample(m))
+    return p.select("cluster_name", F.size(F.split("prompt", "\n---\n")).cast("long").alias("n_cards"), F.regexp_extract("prompt", "(?m)^Document: (.*)$", 1).alias("first_doc"))
+
+
 @query
 def rep_count(spark, sf):
     return _clusters(spark, sf).select("cluster_name", "member_count", R.rep_count(F.col("member_count")).cast("long").alias("target"))
@@ -439,6 +540,11 @@ def known_ids(spark, sf):
     return R.all_doc_ids(known, members)
 
 
+@query
+def rep_summary(spark, sf):
+    return R.summary(R.representatives(R.select(_scored(spark, sf))))
+
+
 @query
 def sanity_missing_rep(spark, sf):
     clusters, reps, _, _ = _reps(spark, sf)
@@ -471,9 +577,9 @@ def sanity_verdict(spark, sf):
 
 def _packages(spark: SparkSession, sf: str) -> DataFrame:
     final = _final(spark, sf)
-    members = final.select(F.col("cluster_name").alias("cluster_id"), F.posexplode("member_doc_ids").alias("position", "doc_id"))
+    members = final.select("cluster_id", F.posexplode("member_doc_ids").alias("position", "doc_id"))
     cards = ad.document_cards(spark, sf)
-    reps = R.representatives(R.select(R.scores(members, cards, ad.card_extractions(cards)))).filter("cluster_id != 'misc-skill'")
+    reps = R.representatives(R.select(R.scores(members, cards, ad.card_extractions(cards)))).filter("cluster_id != 'misc/0'")
     return D.inputs(final, reps, cards.filter("has_code").select("doc_id", F.to_json(F.struct("doc_id")).alias("payload")))
 
 
@@ -482,6 +588,12 @@ def synthesis_input(spark, sf):
     return _packages(spark, sf).select("cluster_name", "state", F.coalesce(_joined(F.transform("parts", lambda p: p["doc_id"])), F.lit("")).alias("documents"))
 
 
+@query
+def synthesis_prompt(spark, sf):
+    p = _packages(spark, sf).filter("state = 'ready'").select("cluster_name", D.prompt().alias("prompt"))
+    return p.select("cluster_name", F.regexp_extract("prompt", "(?m)^Domains: .*$", 0).alias("domains"), F.regexp_extract("prompt", r"(?m)^Documents: (.*)$", 1).alias("documents"))
+
+
 @query
 def skill_files(spark, sf):
     p = D.packages(_packages(spark, sf), D.template_answer())

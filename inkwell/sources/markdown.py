@@ -32,6 +32,11 @@ def manifest(files: DataFrame) -> DataFrame:
     return files.select("path", F.md5("content").alias("hash"), "modified")
 
 
-def changed(new: DataFrame, known: DataFrame) -> DataFrame:
-    """Files that are new or whose content differs from the known manifest."""
-    return new.join(known.select("path", "hash"), ["path", "hash"], "left_anti")
+def changed(new: DataFrame, known: DataFrame, order: str | None = None) -> DataFrame:
+    """Files that are new or whose content differs from the known manifest.
+
+    ``order``: a column of the known by which the last entry of a path counts, so that a file that goes back to an earlier
+    content has changed.
+    """
+    last = known.select("path", "hash") if order is None else known.groupBy("path").agg(F.max_by("hash", order).alias("hash"))
+    return new.join(last, ["path", "hash"], "left_anti")

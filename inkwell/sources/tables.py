@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
 from collections.abc import Iterator
 from pathlib import PurePosixPath
 
@@ -49,21 +50,31 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def _store(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("/") else os.path.abspath(uri))
+def _whole(uri: str) -> str:
+    """The path as the driver sees it: a relative one would mean another folder on each executor."""
+    return uri if "://" in uri or uri.startswith("/") else os.path.abspath(uri)
+
+
+def _put(store: fs.FileSystem, at: str, content: bytes) -> None:
+    """Write under another name and move: a task that dies or runs twice never leaves half a file."""
+    folder, _, name = at.rpartition("/")
+    own = f"{folder}/_writing-{name}-{uuid.uuid4().hex}"
+    with store.open_output_stream(own) as out:
+        out.write(content)
+    store.move(own, at)
 
 
 def write_json_records(df: DataFrame, path: str, key: str) -> DataFrame:
     """One JSON file per row, named by its key, in a folder that all executors share; returns the names written."""
+    path = _whole(path)
     rows = df.select(safe_key(F.col(key)).alias("name"), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = _store(path)
+        store, base = fs.FileSystem.from_uri(path)
         store.create_dir(base, recursive=True)
         for batch in batches:
             for name, body in zip(batch.column("name").to_pylist(), batch.column("body").to_pylist(), strict=True):
-                with store.open_output_stream(f"{base}/{name}.json") as out:
-                    out.write(json.dumps(json.loads(body), ensure_ascii=False, indent=2).encode())
+                _put(store, f"{base}/{name}.json", json.dumps(json.loads(body), ensure_ascii=False, indent=2).encode())
             yield pa.RecordBatch.from_arrays([batch.column("name")], names=["name"])
 
     return rows.mapInArrow(run, "name string")
@@ -80,10 +91,17 @@ def write_packages(packages: DataFrame, path: str) -> DataFrame:
 
     Paths that would leave the package's folder are refused.
     """
+    path = _whole(path)
+    # names that several packages share are told apart by their cluster
+    named = packages.withColumn("skill_name", F.coalesce("skill_name", F.lit("unknown-skill")))
+    if "cluster_id" in packages.columns:
+        shared = named.groupBy("skill_name").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+        named = named.join(shared, "skill_name", "left").withColumn("skill_name", F.when(F.col("_n").isNull(), F.col("skill_name")).otherwise(F.concat_ws("-", "skill_name", "cluster_id")))
+    packages = named
     rows = packages.select(safe_key(F.coalesce("skill_name", F.lit("unknown-skill"))).alias("skill_name"), F.explode("files").alias("file")).select("skill_name", "file.path", "file.contents")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = _store(path)
+        store, base = fs.FileSystem.from_uri(path)
         for batch in batches:
             done = []
             for name, at, text in zip(*(batch.column(c).to_pylist() for c in ("skill_name", "path", "contents")), strict=True):
@@ -92,8 +110,7 @@ def write_packages(packages: DataFrame, path: str) -> DataFrame:
                 if done[-1]:
                     full = f"{base}/{folder}/{to}"
                     store.create_dir(full.rpartition("/")[0], recursive=True)
-                    with store.open_output_stream(full) as out:
-                        out.write((text or "").encode())
+                    _put(store, full, (text or "").encode())
             yield pa.RecordBatch.from_arrays([batch.column("skill_name"), batch.column("path"), pa.array(done, pa.bool_())], names=["skill_name", "path", "written"])
 
     return rows.mapInArrow(run, "skill_name string, path string, written boolean")

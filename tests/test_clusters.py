@@ -71,6 +71,20 @@ def test_fold_steps():
     assert json.loads(I.rule_decider(CARD, many))["decision"] == "new_cluster"
 
 
+def test_fold_reads_an_answer_whole_before_it_acts():
+    """Confidences of any kind are kept out of the count, null signatures are empty, and a bad answer touches no cluster."""
+    clusters = []
+    assert I.step(CARD, clusters, '{"decision": "new_cluster", "cluster_name": "a", "confidence": "high"}', 5) == (0, "new_cluster", None)
+    assert I.step(CARD, clusters, '{"decision": "assign", "cluster_name": "a", "confidence": null, "updated_signature": null}', 5) == (0, "assign", None)
+    assert I.step(CARD, clusters, '{"decision": "assign", "cluster_name": "a", "confidence": "0.5", "updated_signature": {"trigger_phrases": null}}', 5) == (0, "assign", 0.5)
+    assert clusters[0]["member_count"] == 3 and len(clusters) == 1
+    for bad in ('["a"]', '{"decision": "assign", "cluster_name": "a", "updated_signature": ["x"]}', '{"decision": "assign", "cluster_name": "a", "updated_signature": {"trigger_phrases": 5}}'):
+        at, decision, _ = I.step(CARD, clusters, bad, 5)
+        assert decision is None and at == len(clusters) - 1 and clusters[at]["singleton"]
+    assert clusters[0]["member_count"] == 3 and clusters[0]["trigger_phrases"] == ["k"]
+    assert I.step(CARD, clusters, '{"decision": "new_cluster", "cluster_name": 7, "cluster_description": null}', 5)[1] == "new_cluster" and clusters[-1]["cluster_name"] == "7" and clusters[-1]["cluster_description"] == ""
+
+
 def _members(spark, n=60):
     rng = random.Random(3)
     rows = [(f"b{i % 3}", 20, i // 3, f"d{i}", ([], [], [], [rng.choice("xyz"), rng.choice("uvw")], []), ([],), []) for i in range(n)]
@@ -92,7 +106,7 @@ def test_fold_equals_loop_and_ignores_input_order(spark):
 
 
 def test_streamed_fold_equals_batch(spark, tmp_path):
-    m = _members(spark).select("bucket_key", "position", "doc_id", F.to_json("tags").alias("tags"), F.col("trigger.keywords").alias("keywords"), "artifacts")
+    m = _members(spark).select("bucket_key", "position", "doc_id", F.to_json("tags").alias("tags"), F.when(F.col("position") % 2 == 0, F.col("trigger.keywords")).alias("keywords"), F.lit(None).cast("array<string>").alias("artifacts"))
     for i in range(3):
         m.filter(f"position div 7 = {i}").coalesce(1).write.parquet(str(tmp_path / f"in/{i}"))
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
@@ -104,7 +118,10 @@ def test_streamed_fold_equals_batch(spark, tmp_path):
             q.stop()
     except Exception as e:  # noqa: BLE001
         pytest.skip(f"no state store here: {str(e)[:80]}")
-    got = {(r.bucket_key, r.doc_id): r.cluster_name for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    log = spark.read.parquet(str(tmp_path / "out"))
+    got = {(r.bucket_key, r.doc_id): r.cluster_name for r in log.filter("event = 'member'").collect()}
+    folded = {(r.bucket_key, r.cluster_name): (r.member_count, sorted(r.member_doc_ids)) for r in I.clusters(I.fold(_members(spark))).collect()}
+    assert {(r.bucket_key, r.cluster_name): (r.member_count, sorted(r.member_doc_ids)) for r in I.clusters(incremental.latest(log)).collect()} == folded
     want = {(r.bucket_key, r.doc_id): r.cluster_name for r in I.fold(_members(spark)).filter("event = 'member'").collect()}
     assert got == want
 
@@ -197,13 +214,116 @@ def test_whole_run_and_resume(spark, tmp_path):
     first = sorted(map(str, out["representatives"].collect()))
     again = pipeline.run_pipeline(spark, str(src), str(tmp_path / "run"))
     assert {r.status for r in again["status"].collect()} == {"resumed"} and sorted(map(str, again["representatives"].collect())) == first
-    dry = pipeline.run_pipeline(spark, str(src), str(tmp_path / "dry"), Config(dry_run=True, max_packages=1, max_cards=None))
-    assert [r.state for r in dry["packages"].collect()] == ["skipped"]
+    dry = pipeline.run_pipeline(spark, str(src), str(tmp_path / "dry"), Config(dry_run=True))
+    assert dry["rollup_prompts"].count() == 1 and "final" not in dry and "packages" not in dry
     (src / "SR-PTD_9.md").write_text("## Trigger\n> new\n")
     more = pipeline.run_pipeline(spark, str(src), str(tmp_path / "run"))
     assert {r.status for r in more["status"].collect()} == {"done"} and more["extractions"].count() == 9
 
 
+def _notes(folder, n=12):
+    folder.mkdir()
+    for i in range(n):
+        tags = "" if i % 4 == 3 else f"Domains: {'frontend' if i % 2 else 'backend'} | Patterns: Export"
+        (folder / f"SR-PTD_{i:02d}.md").write_text(f"**Date**: 2024-01-0{i % 9 + 1} | **Type**: Fix\n## Trigger\n> export run {i}\n## Workflow\n1. do {i}\n## Issues\n- Late job {i} -> restart\n## Tags\nLanguages: SQL | {tags}\n")
+
+
+def _told(out, *names):
+    return {n: sorted(map(str, out[n].collect())) for n in names if n in out}
+
+
+def test_every_field_of_the_configuration_matters(spark, tmp_path):
+    _notes(tmp_path / "src")
+    run = lambda **fields: pipeline.run_pipeline(spark, str(tmp_path / "src"), str(tmp_path / "run"), Config(**fields))
+    names = ("enriched", "events", "signatures", "final", "audit", "packages", "rollup_prompts")
+    base = _told(run(), *names)
+    assert base["audit"] == [] and len(base["packages"]) > 1
+    # from the last stage to the first, so that what doesn't depend on a field is resumed
+    for fields in ({"packages_of": ("frontend-skill",)}, {"max_packages": 1}, {"skip_synthesis": True}, {"audit_of": "frontend-skill"}, {"audit_min_size": 2}):
+        assert _told(run(**fields), *names) != base, fields
+    for fields in ({"rollups": {"one": ("backend", "frontend")}}, {"min_bucket_size": 4}, {"first_buckets": 1}, {"max_cards": 1}, {"domains": ("only",)}, {"patterns": ("only",)}):
+        out = run(**fields, dry_run=True)
+        assert {r.stage: r.status for r in out["status"].collect()}["extractions"] == "resumed" and "final" not in out
+        assert _told(out, *names) != {n: base[n] for n in names if n in out}, fields
+    assert set(Config.__dataclass_fields__) == {"domains", "patterns", "rollups", "min_bucket_size", "first_buckets", "max_cards", "audit_min_size", "audit_of", "skip_synthesis", "dry_run", "max_packages", "packages_of", "key_by_name"}
+
+
+def test_deciders_of_a_run(spark, tmp_path):
+    """Every decider is asked with its prompt, and its answer decides; names that two skills share stay apart."""
+    _notes(tmp_path / "src")
+
+    def merge(groups, prompts):
+        assert prompts.filter("prompt like 'Rollup: %'").count() == groups.count()
+        return groups.select("rollup", F.to_json(F.struct(F.lit("split").alias("recommendation"), F.array(F.struct(F.lit("same").alias("skill_name"), "cluster_names")).alias("skills"))).alias("answer"))
+
+    def audit_all(prompts):
+        assert prompts.filter("prompt like '%Document: %'").count() == prompts.count()
+        return prompts.select("cluster_name", F.lit('{"is_pure": false, "recommendation": "split", "split_into": [{"skill_name": "p"}], "reasoning": "r"}').alias("answer"))
+
+    ask = pipeline.Deciders(
+        enrich=lambda vocabulary, prompt: F.when(prompt.contains("Card: "), F.lit('{"domains": ["llm"], "patterns": ["etl"], "confidence": 1}')),
+        assign=lambda card, clusters: json.dumps({"decision": "new_cluster", "cluster_name": "c-" + card["doc_id"]}),
+        merge=merge, audit=audit_all, synthesize=lambda prompt: F.to_json(F.struct(F.lit("same").alias("skill_name"), prompt.alias("skill_md"))),
+    )
+    out = pipeline.run_pipeline(spark, str(tmp_path / "src"), str(tmp_path / "run"), Config(audit_min_size=2), deciders=ask)
+    assert out["enriched"].filter("bucket_key = 'llm__etl'").count() == 3 and out["clusters"].count() == 12
+    final = out["final"].collect()
+    assert {r.cluster_name for r in final} == {"same"} and len({r.cluster_id for r in final}) == len(final) == 3 and sum(r.member_count for r in final) == 12
+    assert out["audit_splits"].count() == 3 and out["audit_kept"].count() == 0 and out["audit_summary"].first().splits == 3
+    assert out["representatives"].count() == 3 and out["packages"].filter("state = 'processed'").count() == 3
+    assert out["packages"].filter("files[0].contents like '%Documents: [{%'").count() == 3
+    assert tuple(out["enrichment_summary"].first())[:3] == (12, 3, 3) and out["fold_summary"].first().opened == 12
+    written = tables.write_packages(out["packages"], f"file://{tmp_path}/skills").collect()
+    assert len({r.skill_name for r in written}) == 3 and all(r.written for r in written)
+
+
+def test_command_line(spark, tmp_path, capsys):
+    _notes(tmp_path / "src", 4)
+    assert pipeline.main([str(tmp_path / "src"), str(tmp_path / "run"), "--dry-run"]) == 0
+    assert "rollup_prompts" in capsys.readouterr().out and not (tmp_path / "run/final").exists()
+
+
+def test_changes_are_told_by_the_latest_entry(spark, tmp_path):
+    from inkwell.sources.markdown import changed
+
+    known = spark.createDataFrame([("a", "1", 0), ("a", "2", 1), ("b", "1", 0)], "path string, hash string, batch int")
+    new = spark.createDataFrame([("a", "1"), ("b", "1"), ("c", "1")], "path string, hash string")
+    assert sorted(r.path for r in changed(new, known, "batch").collect()) == ["a", "c"]
+
+
+def test_streamed_rejects(spark, tmp_path):
+    src = tmp_path / "src"
+    src.mkdir()
+    (src / "SR-PTD_bad.md").write_bytes(b"\xff")
+    (src / "SR-PTD_a.md").write_text("## Trigger\n> a\n")
+    args = [str(tmp_path / x) for x in ("src", "sink", "known", "cp")]
+    incremental.stream_extractions(spark, *args).awaitTermination(120)
+    assert [r.path.rpartition("/")[2] for r in spark.read.parquet(args[2] + "-rejects").collect()] == ["SR-PTD_bad.md"]
+    assert spark.read.parquet(args[2]).count() == 1 and spark.read.parquet(args[1]).count() == 1
+
+
+def test_sample_equals_the_rule(spark):
+    """Candidates found within tasks give what ranking whole clusters gives."""
+    import hashlib
+
+    rng = random.Random(9)
+    rows, want = [], {}
+    for c, n in enumerate((8, 9, 30, 60, 300)):
+        mine = [(f"c{c}", n, i, f"c{c}d{i}", rng.choice(["high", "low", None]), rng.choice([0, 0, 1]), rng.choice([0, 1])) for i in range(n)]
+        rows += mine
+        size, first = min(12, max(8, n // 4)), []
+        kind = lambda r: "a_priority" if r[4] == "high" else "b_issues" if r[5] else "c_artifacts" if r[6] else "d_other"
+        for s, k in audit.FIRST.items():
+            first += [r for r in mine if kind(r) == s][:k]
+        rest = sorted((r for r in mine if r not in first), key=lambda r: (hashlib.md5((r[3] + "audit").encode()).hexdigest(), r[2]))
+        want[f"c{c}"] = [r[3] for r in (first + rest)[: n if n <= size else size]]
+    m = spark.createDataFrame(rows, "cluster_name string, member_count long, position int, doc_id string, priority string, n_issues int, n_artifacts int")
+    got = {}
+    for r in audit.sample(m.repartition(5)).orderBy("cluster_name", "sample_rank").collect():
+        got.setdefault(r.cluster_name, []).append(r.doc_id)
+    assert got == want
+
+
 def test_streamed_extractions(spark, tmp_path):
     src = tmp_path / "src"
     src.mkdir()

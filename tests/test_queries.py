@@ -30,7 +30,7 @@ def canon(v):
     return str(v)
 
 
-@pytest.mark.parametrize("name", ["bucket_rows", "rep_select", "stratified_sample", "decision_rows", "tag_families", "incremental_fold", "rollup_groups", "sanity_verdict", "enrich_merge"])
+@pytest.mark.parametrize("name", ["bucket_rows", "rep_select", "stratified_sample", "decision_rows", "tag_families", "incremental_fold", "rollup_groups", "sanity_verdict", "enrich_merge", "skills_across_rollups", "fold_odd_answers", "log_odd_answers", "skill_clusters", "audit_prompt", "skill_files", "synthesis_prompt", "assignment_prompt"])
 def test_query_equals_sql(spark, con, name):
     df = QUERIES[name](spark, str(SF))
     rel = con.sql(ORACLE_SQL[name])
@@ -42,4 +42,4 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) - set(ORACLE_SQL) == {"skill_files"}
+    assert set(QUERIES) == set(ORACLE_SQL)
