@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The characters that Python's strip removes.
+SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once however often it is named, also within lambda functions."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
 
 def py(pattern: str, flags: str = "") -> str:
     """Unicode classes, and only ``\\n`` as a line end, as in Python; ``flags`` of i, m, s."""
@@ -12,7 +22,8 @@ def py(pattern: str, flags: str = "") -> str:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    """Without white space at either end; looks at the ends only, where a pattern would go through the whole text."""
+    return F.btrim(text, F.lit(SPACE))
 
 
 def first(text: Column, pattern: str, flags: str = "", group: int = 1) -> Column:
@@ -40,8 +51,11 @@ def normalize_tag(tag: Column) -> Column:
 
 def distinct_ignoring_case(items: Column) -> Column:
     """The first spelling of each item, in order; items that differ by case and outer white space only are one."""
-    keys = F.transform(items, lambda x: strip(F.lower(x)))
-    return F.filter(items, lambda x, i: F.array_position(keys, F.get(keys, i)) == i + 1)
+    def firsts(found: Column) -> Column:
+        keys = F.transform(found, lambda x: strip(F.lower(x)))
+        return let(keys, lambda k: F.filter(found, lambda x, i: F.array_position(k, F.get(k, i)) == i + 1))
+
+    return let(items, firsts)
 
 
 def text_list() -> Column:

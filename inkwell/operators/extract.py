@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import distinct_ignoring_case, doc_id, every, first, nonempty, normalize_tag, py, rows, strip, text_list
+from ..functions.text import distinct_ignoring_case, doc_id, every, first, let, nonempty, normalize_tag, py, rows, strip, text_list
 from .codeblocks import BLOCK, code_blocks, code_blocks_nearest
 from .sections import detect_format, section_map, with_segments
 
@@ -90,7 +90,7 @@ def steps(text: Column) -> Column:
 
     main = F.filter(listed(STEP, "ms", lambda t: strip(F.get(F.split(t, "\n"), F.lit(0)))), lambda r: (r["t"] != "") & ~r["t"].startswith("-"))
     rest = F.filter(listed(STEP_LINE, "m", strip), lambda r: r["t"] != "")
-    found = F.array_sort(F.when(F.size(main) > 0, main).otherwise(rest))
+    found = let(main, lambda m: F.array_sort(F.when(F.size(m) > 0, m).otherwise(rest)))
     return F.array_distinct(F.transform(found, lambda r: F.struct(r["n"].alias("step_number"), r["t"].alias("action"))))
 
 
@@ -242,9 +242,10 @@ def extract(docs: DataFrame, heading_mode: str = "reference") -> DataFrame:
     more = F.filter("section_order", lambda k: F.contains(k, F.lit("skill")) | F.contains(k, F.lit("reusab")) | F.contains(k, F.lit("tags")))
     judged = F.concat(section("skill_assessment", "skill_potential"), F.array_join(F.transform(more, lambda k: F.concat(F.lit("\n"), F.try_element_at(F.col("raw_sections"), k))), ""))
     judged = F.concat(judged, F.when(F.contains(content, F.lit("Dimension")) & F.contains(content, F.lit("Score")), F.concat(F.lit("\n"), content)).otherwise(empty))
-    d = d.withColumn("skill_assessment", assessment(judged)).withColumn("tags", tags(F.concat(section("tags"), F.lit("\n"), F.right(content, F.lit(1000)))))
+    d = d.withColumn("_judged", judged).withColumn("skill_assessment", assessment(F.col("_judged")))
+    d = d.withColumn("_tagged", F.concat(section("tags"), F.lit("\n"), F.right(content, F.lit(1000)))).withColumn("tags", tags(F.col("_tagged")))
     d = d.withColumn("parse_warnings", warnings())
-    return d.withColumn("source_path", F.col("path")).drop("_flow", "_steps", "section_order")
+    return d.withColumn("source_path", F.col("path")).drop("_flow", "_steps", "_judged", "_tagged", "section_order")
 
 
 def summary(extractions: DataFrame, rejects: DataFrame) -> DataFrame:

@@ -143,3 +143,23 @@ def test_cards(spark, ex):
     assert tags == ["a-b", "c"]
     none = C.bucket_stats(C.bucket_sizes(spark.createDataFrame([], "doc_id string, bucket_key string"))).first()
     assert none.total_buckets == 0 and none.max_bucket_size == 0 and none.avg_bucket_size == 0
+
+
+def test_strip_as_python(spark):
+    from inkwell.functions.text import SPACE, strip
+
+    texts = ["", " ", SPACE, f"{SPACE}a b{SPACE}c{SPACE}", "\u3000x\xa0", "x\u200b ", "no ends"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "i int, t string")
+    found = {r.i: r.s for r in rows.select("i", strip(rows.t).alias("s")).collect()}
+    assert found == {i: t.strip() for i, t in enumerate(texts)} | {len(texts): None}
+    assert all(c.isspace() for c in SPACE)
+
+
+def test_first_spellings(spark):
+    from pyspark.sql import functions as F
+
+    from inkwell.functions.text import distinct_ignoring_case
+
+    rows = spark.createDataFrame([(0, ["B", "a", " b ", "A", "c"]), (1, []), (2, None)], "i int, t array<string>")
+    found = {r.i: r.s for r in rows.select("i", distinct_ignoring_case(F.col("t")).alias("s")).collect()}
+    assert found == {0: ["B", "a", "c"], 1: [], 2: None}
