@@ -172,6 +172,12 @@ def filter_texts(docs: DataFrame, keep: Callable[[list[str]], np.ndarray | list[
     return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
+def utf16_units(text: str) -> np.ndarray | None:
+    """The 16-bit code units; None for texts with characters beyond them."""
+    units = np.frombuffer(text.encode("utf-16-le", "surrogatepass"), np.uint16)
+    return None if ((units & 0xF800) == 0xD800).any() else units
+
+
 def chunks(items: list[str], limit: int) -> Iterator[tuple[int, int]]:
     """Ranges of neighbouring items with about ``limit`` characters each, one item at least."""
     start, n = 0, 0

@@ -18,15 +18,17 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, corpus_sum, crc_mod, filter_texts, held_out, hold, labelled_sample, release, texts
+from .common import chunks, corpus_sum, crc_mod, filter_texts, held_out, hold, labelled_sample, release, texts, utf16_units
 
 FOLDS, HELD = 4, 2
 #: Labelled documents that the lexicon is fitted on, at most.
@@ -57,6 +59,28 @@ _WORDS = re.compile(rf"{_L}+")
 #: Of ASCII characters: 1 letters, 2 signs. Others are letters, as far as finding suspicious lines goes, or signs.
 _KIND = np.array([("a" <= chr(i) <= "z") + 2 * (chr(i) in LOOKALIKES) for i in range(129)], np.uint8)
 _ODD_SIGNS = np.array([ord(c) for c in LOOKALIKES if ord(c) >= 128], np.uint32)
+#: The same of all Latin-1, and Latin-1 with spaces for what is no letter.
+_LATIN_KINDS = bytes(int(_KIND[i]) if i < 128 else 2 if i in _ODD_SIGNS else 1 for i in range(256))
+_LATIN_LETTERS = bytes(i if _WORDS.fullmatch(chr(i)) else 32 for i in range(256))
+#: What is remembered of words seen, at most, in each process.
+WORDS_KEPT = 300_000
+
+
+@cache
+def _letters() -> np.ndarray:
+    """Of each 16-bit code unit, whether it is a letter."""
+    return np.array([bool(_WORDS.fullmatch(chr(i))) for i in range(1 << 16)])
+
+
+def words_of(lowered: str) -> list[str]:
+    """The runs of letters, in order: split at what is no letter by tables, but in texts with characters beyond 16 bits."""
+    try:
+        return lowered.encode("latin-1").translate(_LATIN_LETTERS).decode("latin-1").split()
+    except UnicodeEncodeError:
+        units = utf16_units(lowered)
+        if units is None:
+            return _WORDS.findall(lowered)
+        return np.where(_letters()[units], units, np.uint16(32)).tobytes().decode("utf-16-le").split()
 
 
 def _codes(text: str) -> np.ndarray:
@@ -167,6 +191,12 @@ def decode(span: str, costs: list[list[list[float]]]) -> str:
 
 def _points(lowered: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Code points, and which of them may be letters and signs."""
+    try:
+        latin = lowered.encode("latin-1")
+        kind = np.frombuffer(latin.translate(_LATIN_KINDS), np.uint8)
+        return np.frombuffer(latin, np.uint8), (kind & 1) > 0, (kind & 2) > 0
+    except UnicodeEncodeError:
+        pass
     points = np.frombuffer(lowered.encode("utf-32-le", "replace"), np.uint32)
     kind = _KIND[np.minimum(points, 128)]
     odd = points >= 128
@@ -187,9 +217,12 @@ def _lines(lowered: str, places: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def suspicious_lines(lowered: str) -> list[tuple[int, int]]:
-    """The lines that may hold a disguise by signs, by what the alternatives of DISGUISED need; no disguise spans lines."""
-    points, letter, sign = _points(lowered)
+def suspicious_lines(lowered: str, seen: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> list[tuple[int, int]]:
+    """The lines that may hold a disguise by signs, by what the alternatives of DISGUISED need; no disguise spans lines.
+
+    ``seen``: what ``_points`` gives, if at hand.
+    """
+    points, letter, sign = seen or _points(lowered)
     if len(points) < 2:
         return []
     places = [np.flatnonzero(sign[:-1] & letter[1:])]
@@ -198,9 +231,9 @@ def suspicious_lines(lowered: str) -> list[tuple[int, int]]:
     return _lines(lowered, np.unique(np.concatenate(places)))
 
 
-def triples(lowered: str) -> list[tuple[int, int]]:
+def triples(lowered: str, seen: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> list[tuple[int, int]]:
     """The words (runs of letters) with a letter three times in a row."""
-    points, letter, _ = _points(lowered)
+    points, letter, _ = seen or _points(lowered)
     if len(points) < 3:
         return []
     same = np.concatenate(([False], points[1:] == points[:-1]))
@@ -220,17 +253,29 @@ def triples(lowered: str) -> list[tuple[int, int]]:
     return out
 
 
+class _Bits(dict):
+    """Of 64 bits, the one of a word."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > WORDS_KEPT:
+            self.clear()
+        self[word] = bit = 1 << (zlib.crc32(word.encode("utf-8", "replace")) & 63)
+        return bit
+
+
 @dataclass
 class Restorer:
     """Restores texts; remembers the spans it has seen, up to a bound on memory."""
 
     costs: list[list[list[float]]]
     seen: dict[str, str] = field(default_factory=dict)
+    bits: _Bits = field(default_factory=_Bits)
 
     def spans(self, lowered: str) -> list[tuple[int, int, str]]:
         """(start, end, restored) of the disguised spans, in order; where two begin at one place, that by signs."""
-        found = [m.span() for a, b in suspicious_lines(lowered) for m in DISGUISED.finditer(lowered, a, b)]
-        repeated = triples(lowered)
+        seen = _points(lowered)
+        found = [m.span() for a, b in suspicious_lines(lowered, seen) for m in DISGUISED.finditer(lowered, a, b)]
+        repeated = triples(lowered, seen)
         if repeated:
             found = sorted([(a, 0, b) for a, b in found] + [(a, 1, b) for a, b in repeated])
             found = [(a, b) for a, _, b in found]
@@ -259,30 +304,65 @@ class Restorer:
     def words(self, text: str) -> set[str]:
         """The words of the restored text; of disguised spans the plain readings too."""
         lowered = text.lower()
-        found = set(_WORDS.findall(lowered))
+        found = set(words_of(lowered))
         for _, _, word in self.spans(lowered):
-            found.update(_WORDS.findall(word))
+            found.update(words_of(word))
         return found
 
     def contexts(self, text: str) -> dict[str, int]:
         """The same words, each with a bit set for the word before every occurrence."""
-        lowered, found, before = text.lower(), {}, ""
-        for w in _WORDS.findall(lowered):
-            found[w] = found.get(w, 0) | 1 << (zlib.crc32(before.encode("utf-8", "replace")) & 63)
-            before = w
+        lowered, found, bit = text.lower(), {}, self.bits[""]
+        for w in words_of(lowered):
+            found[w] = found.get(w, 0) | bit
+            bit = self.bits[w]
         for start, _, word in self.spans(lowered):
-            bit = 1 << (zlib.crc32(lowered[max(0, start - 8) : start].encode("utf-8", "replace")) & 63)
-            for w in _WORDS.findall(word):
+            bit = self.bits[lowered[max(0, start - 8) : start]]
+            for w in words_of(word):
                 found[w] = found.get(w, 0) | bit
         return found
 
 
-def features(words: set[str]) -> set[str]:
-    """Words, and beginnings of words, marked by ``*``."""
-    out = set(words)
-    for n in PREFIXES:
-        out.update([w[:n] + "*" for w in words if len(w) > n])
-    return out
+def features(word: str) -> tuple[str, ...]:
+    """The word, and its beginnings, marked by ``*``."""
+    return (word, *(word[:n] + "*" for n in PREFIXES if len(word) > n))
+
+
+class _Features(dict):
+    """The features of a word that are wanted (None: all)."""
+
+    def __init__(self, wanted: Collection[str] | None) -> None:
+        self.wanted = wanted
+
+    def __missing__(self, word: str) -> tuple[str, ...]:
+        if len(self) > WORDS_KEPT:
+            self.clear()
+        self[word] = found = tuple(f for f in features(word) if self.wanted is None or f in self.wanted)
+        return found
+
+
+class _Numbers(dict):
+    """Of each word the row in ``table``: the numbers of its features, -1 where they have none."""
+
+    def __init__(self, numbers: dict[str, int]) -> None:
+        self.table = array("i")
+        self.whole = {f: i for f, i in numbers.items() if not f.endswith("*")}
+        self.starts = [(n, {f[:-1]: i for f, i in numbers.items() if f.endswith("*") and len(f) == n + 1}) for n in PREFIXES]
+
+    def __missing__(self, word: str) -> int:
+        self[word] = row = len(self)
+        size = len(word)
+        self.table.append(self.whole.get(word, -1))
+        self.table.extend([numbers.get(word[:n], -1) if size > n else -1 for n, numbers in self.starts])
+        return row
+
+    def of(self, words: Collection[str]) -> np.ndarray:
+        """The numbers of the features of the words, each once, in order."""
+        if len(self) > WORDS_KEPT:
+            self.clear()
+            del self.table[:]
+        rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        found = np.unique(np.frombuffer(self.table, np.int32).reshape(-1, 1 + len(PREFIXES))[rows])
+        return found[np.searchsorted(found, 0) :]
 
 
 @dataclass
@@ -296,14 +376,24 @@ class Model:
     weights: dict[str, float] = field(default_factory=dict)
     calibration: tuple[float, float, float] = (0.0, 1.0, 1.0)
 
+    @cached_property
+    def _tables(self) -> tuple[_Numbers, np.ndarray, np.ndarray]:
+        """Numbers of the features known, and by number shares of toxic and weights, nan where there are none."""
+        known = sorted(self.lexicon.keys() | self.weights.keys())
+        by_number = lambda values: np.array([values.get(f, math.nan) for f in known])
+        return _Numbers({f: i for i, f in enumerate(known)}), by_number(self.lexicon), by_number(self.weights)
+
     def evidence(self, words: set[str]) -> tuple[float, float]:
         """Log-odds by the lexicon, and the mean weight of the features."""
-        found = features(words)
-        hits = [self.lexicon[f] for f in self.lexicon.keys() & found]
+        numbers, shares, weights = self._tables
+        found = numbers.of(words)
+        hits = shares[found]
+        hits = hits[~np.isnan(hits)].tolist()
         p = 1 - (1 - max(hits)) / (1 + 0.1 * (len(hits) - 1)) if hits else min(0.29, self.base / 4)
         p = min(max(p, 1e-4), 1 - 1e-4)
-        known = sorted(self.weights[f] for f in self.weights.keys() & found)  # sorted: sums don't depend on the order of sets
-        return math.log(p / (1 - p)), sum(known) / len(known) if known else 0.0
+        known = weights[found]
+        known = known[~np.isnan(known)]
+        return math.log(p / (1 - p)), float(known.mean()) if len(known) else 0.0  # by number: sums don't depend on the order of sets
 
     def score(self, words: set[str]) -> float:
         a, b = self.evidence(words)
@@ -342,7 +432,7 @@ def _count_features(docs: DataFrame, costs: list, wanted: set[str] | None) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         costs, wanted = shared.value
-        restorer, counts = Restorer(costs), {}
+        restorer, counts, known = Restorer(costs), {}, _Features(wanted)
 
         def emit() -> pa.RecordBatch:
             n, masks, n_fit, masks_fit = zip(*counts.values(), strict=True)
@@ -353,9 +443,8 @@ def _count_features(docs: DataFrame, costs: list, wanted: set[str] | None) -> Da
             for text, aside in zip(texts(batch), batch.column("aside").to_pylist(), strict=True):
                 own: dict[str, int] = {}
                 for word, mask in restorer.contexts(text).items():
-                    for f in (word, *(word[:n] + "*" for n in PREFIXES if len(word) > n)):
-                        if wanted is None or f in wanted:
-                            own[f] = own.get(f, 0) | mask
+                    for f in known[word]:
+                        own[f] = own.get(f, 0) | mask
                 for f, mask in own.items():
                     n, before, n_fit, before_fit = counts.get(f, (0, 0, 0, 0))
                     counts[f] = (n + 1, before | mask, n_fit, before_fit) if aside else (n + 1, before | mask, n_fit + 1, before_fit | mask)
