@@ -21,6 +21,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, crc_mod, filter_texts, held_out, labelled_sample, texts
+from .common import chunks, crc_mod, filter_texts, held_out, labelled_sample, texts, utf16_units
 
 FOLDS, HELD = 5, 0
 #: Labelled documents that the network is fitted on, at most.
@@ -63,8 +64,33 @@ class _Buckets(dict):
         return bucket
 
 
+@cache
+def _classes() -> np.ndarray:
+    """Of each 16-bit code unit the class that a token keeps to: 0 white space, 1 letter, 2 digit, 3 underscore, or the sign itself."""
+    of = lambda c: 0 if c.isspace() else 3 if c == "_" else 2 if c.isdecimal() else 1 if c.isalnum() else 4 + ord(c)
+    return np.array([of(chr(i)) for i in range(1 << 16)], np.int32)
+
+
+def split_tokens(text: str) -> list[str]:
+    """What _TOKENS finds, in order: spaces are put where the class changes, but in texts with characters beyond 16 bits."""
+    try:
+        units, codec = np.frombuffer(text.encode("latin-1"), np.uint8), "latin-1"
+    except UnicodeEncodeError:
+        units, codec = utf16_units(text), "utf-16-le"
+        if units is None:
+            return [m[0] for m in _TOKENS.finditer(text)]
+    if not len(units):
+        return []
+    classes = _classes()[units]
+    places = np.arange(len(units))
+    places[1:] += np.cumsum(classes[1:] != classes[:-1])
+    out = np.full(places[-1] + 1, 32, units.dtype)
+    out[places] = np.where(classes > 0, units, units.dtype.type(32))
+    return out.tobytes().decode(codec).split()
+
+
 def tokenise(text: str, buckets: _Buckets) -> np.ndarray:
-    found = [m[0] for m in _TOKENS.finditer(text)]
+    found = split_tokens(text)
     return np.fromiter(map(buckets.__getitem__, found), np.int64, len(found))
 
 
@@ -111,19 +137,28 @@ def unpacked(data: bytes) -> np.ndarray:
 
 def add_contexts(ids: np.ndarray, sums: Sums) -> None:
     """Add the neighbours' index vectors to each token's row; -1 separates documents."""
-    kinds, own = np.unique(ids, return_inverse=True)
-    places, signs = index_vectors(np.maximum(kinds, 0))
-    found = np.zeros(len(kinds) * DIMS)
+    met = np.zeros(BUCKETS, bool)
+    met[ids[ids >= 0]] = True
+    kinds = np.flatnonzero(met)
+    row_of = np.zeros(BUCKETS, np.int64)
+    row_of[kinds] = np.arange(len(kinds))
+    apart = ids < 0
+    own = row_of[np.maximum(ids, 0)]
+    base = own * DIMS
+    reach = []  # for each gap, whether both tokens are of one document
     for gap in range(1, REACH + 1):
-        both = (ids[:-gap] >= 0) & (ids[gap:] >= 0)
-        for between in range(1, gap):
-            both &= ids[between : len(ids) - gap + between] >= 0
-        a, b = own[:-gap][both], own[gap:][both]
-        for here, there in ((a, b), (b, a)):
-            for k in range(NONZERO):
-                found += np.bincount(here * DIMS + places[there, k], signs[there, k], minlength=len(found))
-    real = kinds >= 0
-    sums.add(kinds[real], found.reshape(len(kinds), DIMS)[real])
+        broken = apart[: len(ids) - gap].copy()
+        for i in range(1, gap + 1):
+            broken |= apart[i : len(ids) - gap + i]
+        reach.append(~broken)
+    places, signs = index_vectors(kinds)
+    found = np.zeros(len(kinds) * DIMS)
+    for k in range(NONZERO if len(kinds) else 0):
+        place, sign = places[own, k], signs[own, k]
+        for gap, one in enumerate(reach, 1):
+            at = np.concatenate((base[:-gap] + place[gap:], base[gap:] + place[:-gap]))
+            found += np.bincount(at, np.concatenate((one * sign[gap:], one * sign[:-gap])), minlength=len(found))
+    sums.add(kinds, found.reshape(len(kinds), DIMS))
 
 
 @dataclass

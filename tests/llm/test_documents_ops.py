@@ -494,6 +494,37 @@ def _path_cost(span, out, costs):
     return cost + costs[a][b][0]
 
 
+def _odd_texts(n: int, seed: int) -> list[str]:
+    rng = random.Random(seed)
+    pool = "aabbzé ²½_ªµ١٢0129!!??--  \n\t\x1c\x85\xa0 …—€漢字жЖİıßŉ𝔘😀\x00\x0b$@|"
+    return ["".join(rng.choice(pool[: rng.randint(3, len(pool))]) for _ in range(rng.randint(0, 40))) for _ in range(n)]
+
+
+def test_words_and_tokens_by_tables_equal_patterns():
+    """Latin-1, other texts of 16 bits, and texts beyond, where the patterns themselves are used."""
+    for text in _odd_texts(3000, 3):
+        assert toxicity.words_of(text) == toxicity._WORDS.findall(text)
+        assert quality.split_tokens(text) == [m[0] for m in quality._TOKENS.finditer(text)]
+
+
+def test_evidence_equals_sets_of_features(monkeypatch):
+    """With few words remembered, so that they are forgotten between texts."""
+    monkeypatch.setattr(toxicity, "WORDS_KEPT", 20)
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 8))) for _ in range(300)]
+    known = sorted({f for w in words[:150] for f in toxicity.features(w)})
+    lexicon = {f: 0.6 + 0.3 * rng.random() for f in known[::9]}
+    weights = {f: rng.uniform(-3, 3) for f in known if rng.random() < 0.8}
+    model = toxicity.Model([], lexicon, 0.05, weights)
+    for n in (0, 1, 5, 40, 3, 100):
+        chosen = set(rng.sample(words, n))
+        found = {f for w in chosen for f in toxicity.features(w)}
+        hits = [lexicon[f] for f in found & lexicon.keys()]
+        p = 1 - (1 - max(hits)) / (1 + 0.1 * (len(hits) - 1)) if hits else 0.05 / 4
+        mean = [weights[f] for f in found & weights.keys()]
+        assert model.evidence(chosen) == pytest.approx((np.log(p / (1 - p)), np.mean(mean) if mean else 0.0))
+
+
 def test_decode_equals_enumeration():
     rng, costs = random.Random(13), _costs()
     for _ in range(1500):
